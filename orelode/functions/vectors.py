@@ -19,7 +19,7 @@ from collections.abc import Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Features = Sequence[str] | str
@@ -38,21 +38,29 @@ def name(column: str) -> str:
     return "`" + column.replace("`", "``") + "`"
 
 
-def required(column: str) -> Column:
+def required_sql(column: str) -> str:
     """The column as a double that may not be NULL: a NULL raises.
 
     The last argument only tells the optimizer that the result is never NULL,
     which halves the code generated for each distance term.
     """
-    message = F.raise_error(F.lit(f"NULL in feature {column}")).cast("double")
-    return F.coalesce(F.col(column).cast("double"), message, F.lit(0.0))
+    label = column.replace("\\", "\\\\").replace("'", "\\'")
+    message = f"cast(raise_error('NULL in feature {label}') AS double)"
+    return f"coalesce(cast({name(column)} AS double), {message}, 0D)"
+
+
+def with_required(df: DataFrame, features: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Add the checked features as new columns, and tell their names."""
+    xs = [f"__x{i}" for i in range(len(features))]
+    checked = [f"{required_sql(f)} AS {x}" for f, x in zip(features, xs)]
+    return df.selectExpr("*", *checked), xs
 
 
 def feature_array(features: Features) -> Column:
     """The features of a row as one array of doubles."""
     if isinstance(features, str):
         return F.col(features).cast("array<double>")
-    return F.array(*[required(f) for f in features])
+    return F.expr(f"array({', '.join(required_sql(f) for f in features)})")
 
 
 def l2_norm(features: Features) -> Column:
@@ -72,15 +80,11 @@ def sq_distance(features: Features, center: Sequence[float]) -> Column:
             f"aggregate(zip_with(cast({name(features)} as array<double>), array({point}), "
             "(a, b) -> (a - b) * (a - b)), 0D, (s, v) -> s + v)"
         )
-    return F.expr(_sq_distance_sql(features, center))
-
-
-def dot(features: Sequence[str], weights: Sequence[float], start: float | None = None) -> Column:
-    """``start + sum(feature * weight)``, added from left to right."""
-    return F.expr(_dot_sql(features, weights, start))
+    return F.expr(sq_distance_sql(features, center))
 
 
-def _sq_distance_sql(features: Sequence[str], center: Sequence[float]) -> str:
+def sq_distance_sql(features: Sequence[str], center: Sequence[float]) -> str:
+    """The squared distance written out over the columns."""
     terms = []
     for f, v in zip(features, center, strict=True):
         diff = f"({name(f)} - {double_literal(v)})"
@@ -88,7 +92,8 @@ def _sq_distance_sql(features: Sequence[str], center: Sequence[float]) -> str:
     return " + ".join(terms)
 
 
-def _dot_sql(features: Sequence[str], weights: Sequence[float], start: float | None) -> str:
+def dot_sql(features: Sequence[str], weights: Sequence[float], start: float | None = None) -> str:
+    """``start + sum(feature * weight)``, added from left to right."""
     terms = [] if start is None else [double_literal(start)]
     terms += [f"{name(f)} * {double_literal(w)}" for f, w in zip(features, weights, strict=True)]
     return " + ".join(terms)
@@ -99,11 +104,15 @@ def is_narrow(features: Features, rows: int) -> bool:
     return not isinstance(features, str) and rows * len(features) <= NARROW_TERMS
 
 
-def first_best(values: Sequence[str], best: str) -> Column:
+def best_of_sql(function: str, values: Sequence[str]) -> str:
+    """``least`` or ``greatest`` of columns, of which there may be one."""
+    return f"{function}({', '.join(values)})" if len(values) > 1 else values[0]
+
+
+def first_best_sql(values: Sequence[str], best: str) -> str:
     """Index of the first of ``values`` equal to ``best``: ties go to the lowest index."""
-    cases = " ".join(f"WHEN {name(v)} = {name(best)} THEN {j}" for j, v in enumerate(values[:-1]))
-    last = len(values) - 1
-    return F.expr(f"CASE {cases} ELSE {last} END" if cases else "0").cast("int")
+    cases = " ".join(f"WHEN {v} = {name(best)} THEN {j}" for j, v in enumerate(values[:-1]))
+    return f"CASE {cases} ELSE {len(values) - 1} END" if cases else "0"
 
 
 def nearest_udf(centers: Sequence[Sequence[float]]):

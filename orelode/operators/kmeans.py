@@ -24,12 +24,13 @@ from pyspark.sql import types as T
 
 from orelode.functions.vectors import (
     Features,
+    best_of_sql,
     feature_array,
-    first_best,
+    first_best_sql,
     is_narrow,
     nearest_udf,
-    required,
-    sq_distance,
+    sq_distance_sql,
+    with_required,
 )
 
 RANDOM = "random"
@@ -250,13 +251,11 @@ def _nearest(
         found = df.withColumn("__x", feature_array(features)).withColumn("__near", nearest_udf(centers)("__x"))
         found = found.withColumn(distance, F.col("__near.d")).withColumn(cluster, F.col("__near.j"))
         return found.drop("__near"), ["__x"]
-    xs = [f"__x{i}" for i in range(len(features))]
+    found, xs = with_required(df, features)
     ds = [f"__d{j}" for j in range(len(centers))]
-    found = df.select("*", *[required(f).alias(x) for f, x in zip(features, xs)])
-    found = found.select("*", *[sq_distance(xs, c).alias(d) for c, d in zip(centers, ds)])
-    least = F.least(*ds) if len(ds) > 1 else F.col(ds[0])
-    found = found.withColumn(distance, least).withColumn(cluster, first_best(ds, distance))
-    return found.drop(*ds), xs
+    found = found.selectExpr("*", *[f"{sq_distance_sql(xs, c)} AS {d}" for c, d in zip(centers, ds)])
+    found = found.selectExpr("*", f"{best_of_sql('least', ds)} AS {distance}")
+    return found.selectExpr("*", f"{first_best_sql(ds, distance)} AS {cluster}").drop(*ds), xs
 
 
 def _cells(df: DataFrame, features: Features, centers: Centers) -> DataFrame:
@@ -268,30 +267,22 @@ def _cells(df: DataFrame, features: Features, centers: Centers) -> DataFrame:
             return _cells_by_column(found, inputs)
         found = found.withColumn("__x", F.array(*inputs))
     values = found.select("__cluster", "__cost", F.posexplode("__x").alias("pos", "x"))
-    return values.groupBy(F.col("__cluster").alias("cluster"), "pos").agg(
-        F.count(F.lit(1)).alias("n"), *_statistics("x"), F.sum("__cost").alias("cost")
-    )
+    totals = ["count(1) AS n", *_statistics("x"), "sum(__cost) AS cost"]
+    return values.groupBy(F.col("__cluster").alias("cluster"), "pos").agg(*map(F.expr, totals))
 
 
 def _cells_by_column(found: DataFrame, inputs: list[str]) -> DataFrame:
-    wide = found.groupBy(F.col("__cluster").alias("cluster")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("__cost").alias("cost"),
-        *[F.struct(*_statistics(x)).alias(x) for x in inputs],
-    )
-    cells = F.array(*[F.struct(F.lit(i).alias("pos"), F.col(f"{x}.*")) for i, x in enumerate(inputs)])
-    return wide.select("cluster", "n", "cost", F.inline(cells)).select(
+    totals = ["count(1) AS n", "sum(__cost) AS cost"]
+    totals += [f"struct({', '.join(_statistics(x))}) AS {x}" for x in inputs]
+    wide = found.groupBy(F.col("__cluster").alias("cluster")).agg(*map(F.expr, totals))
+    cells = ", ".join(f"struct({i} AS pos, {x}.*)" for i, x in enumerate(inputs))
+    return wide.selectExpr("cluster", "n", "cost", f"inline(array({cells}))").select(
         "cluster", "pos", "n", "mean", "min", "max", "stddev", "cost"
     )
 
 
-def _statistics(x: str) -> list[Column]:
-    return [
-        F.avg(x).alias("mean"),
-        F.min(x).alias("min"),
-        F.max(x).alias("max"),
-        F.stddev_samp(x).alias("stddev"),
-    ]
+def _statistics(x: str) -> list[str]:
+    return [f"avg({x}) AS mean", f"min({x}) AS min", f"max({x}) AS max", f"stddev_samp({x}) AS stddev"]
 
 
 def _grid(spark: SparkSession, features: Features, centers: Centers) -> DataFrame:

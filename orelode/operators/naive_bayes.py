@@ -24,7 +24,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orelode.functions.vectors import dot, feature_array, first_best, is_narrow, linear_argmax_udf, required
+from orelode.functions.vectors import (
+    best_of_sql,
+    dot_sql,
+    feature_array,
+    first_best_sql,
+    is_narrow,
+    linear_argmax_udf,
+    with_required,
+)
 
 Label = str | float | int
 
@@ -43,13 +51,11 @@ class NaiveBayesModel:
         """Add the predicted label to every row; the other columns stay."""
         index = "__class"
         if is_narrow(self.features, len(self.labels)):
-            xs = [f"__x{i}" for i in range(len(self.features))]
+            scored, xs = with_required(df, self.features)
             ss = [f"__s{c}" for c in range(len(self.labels))]
-            scored = df.select("*", *[required(f).alias(x) for f, x in zip(self.features, xs)])
-            scores = [dot(xs, t, p).alias(s) for t, p, s in zip(self.theta, self.pi, ss)]
-            scored = scored.select("*", *scores)
-            best = F.greatest(*ss) if len(ss) > 1 else F.col(ss[0])
-            scored = scored.withColumn("__best", best).withColumn(index, first_best(ss, "__best"))
+            scores = [f"{dot_sql(xs, t, p)} AS {s}" for t, p, s in zip(self.theta, self.pi, ss)]
+            scored = scored.selectExpr("*", *scores).selectExpr("*", f"{best_of_sql('greatest', ss)} AS __best")
+            scored = scored.selectExpr("*", f"{first_best_sql(ss, '__best')} AS {index}")
             scored = scored.drop("__best", *xs, *ss)
         else:
             argmax = linear_argmax_udf(self.theta, self.pi)
@@ -90,10 +96,7 @@ def class_sums(df: DataFrame, label: str, features: Sequence[str]) -> DataFrame:
 def train(df: DataFrame, label: str, features: Sequence[str], smoothing: float = 1.0) -> NaiveBayesModel:
     """Fit in one pass. Negative or NULL attributes and NULL labels raise."""
     features = list(features)
-    checked = df.select(
-        F.col(label).alias("__label"), *[required(f).alias(f"x{i}") for i, f in enumerate(features)]
-    )
-    xs = [f"x{i}" for i in range(len(features))]
+    checked, xs = with_required(df.select(F.col(label).alias("__label"), *features), features)
     totals = checked.groupBy("__label").agg(
         F.count(F.lit(1)).alias("n"),
         F.array(*[F.sum(x) for x in xs]).alias("sums"),

@@ -15,7 +15,7 @@ from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orelode.functions.vectors import Features, dot, feature_array, name, required
+from orelode.functions.vectors import Features, dot_sql, double_literal, feature_array, name, with_required
 
 # A pair of attributes per aggregate: up to here one generated aggregation.
 _WIDE_COVARIANCE = 8
@@ -48,26 +48,23 @@ class PcaModel:
         """Add one column per component. Narrow."""
         if isinstance(self.features, str):
             column = name(self.features)
-            outputs = [
-                F.expr(
-                    f"aggregate(zip_with(cast({column} as array<double>), array({', '.join(f'{v!r}D' for v in row)}), "
-                    "(a, b) -> a * b), 0D, (s, v) -> s + v)"
-                )
-                for row in self.loadings
-            ]
-            return df.select("*", *[o.alias(f"{prefix}{c}") for c, o in enumerate(outputs)])
-        xs = [f"__x{i}" for i in range(len(self.features))]
-        checked = df.select("*", *[required(f).alias(x) for f, x in zip(self.features, xs)])
-        outputs = [dot(xs, row).alias(f"{prefix}{c}") for c, row in enumerate(self.loadings)]
-        return checked.select("*", *outputs).drop(*xs)
+            outputs = []
+            for c, row in enumerate(self.loadings):
+                weights = f"array({', '.join(map(double_literal, row))})"
+                products = f"zip_with(cast({column} AS array<double>), {weights}, (a, b) -> a * b)"
+                outputs.append(f"aggregate({products}, 0D, (s, v) -> s + v) AS {prefix}{c}")
+            return df.selectExpr("*", *outputs)
+        checked, xs = with_required(df, self.features)
+        outputs = [f"{dot_sql(xs, row)} AS {prefix}{c}" for c, row in enumerate(self.loadings)]
+        return checked.selectExpr("*", *outputs).drop(*xs)
 
 
 def covariance(df: DataFrame, features: Features) -> DataFrame:
     """(attribute_a, attribute_b, cov) for every pair with a <= b in column order."""
     if not isinstance(features, str) and len(features) <= _WIDE_COVARIANCE:
-        pruned = df.select(*[required(f).alias(f"x{i}") for i, f in enumerate(features)])
+        checked, xs = with_required(df.select(*features), features)
         pairs = list(combinations_with_replacement(range(len(features)), 2))
-        one_row = pruned.agg(*[F.covar_samp(f"x{i}", f"x{j}").alias(f"c{i}_{j}") for i, j in pairs])
+        one_row = checked.agg(*[F.covar_samp(xs[i], xs[j]).alias(f"c{i}_{j}") for i, j in pairs])
         cells = F.array(
             *[
                 F.struct(

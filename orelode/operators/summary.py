@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orelode.functions.vectors import Features, feature_array, required
+from orelode.functions.vectors import Features, feature_array, with_required
 
 METRICS = ("n", "mean", "min", "max", "variance")
 
@@ -32,9 +32,9 @@ def column_summary(df: DataFrame, features: Features, metrics: Sequence[str] = M
         else:
             label = F.element_at(F.array(*[F.lit(f) for f in features]), F.col("pos") + 1)
         return table.select(label.alias("attribute"), *metrics)
-    pruned = df.select(*[required(f).alias(f"x{i}") for i, f in enumerate(features)])
-    one_row = pruned.agg(*[F.struct(*_statistics(f"x{i}")).alias(f"x{i}") for i in range(len(features))])
-    rows = F.array(*[F.struct(F.lit(f).alias("attribute"), F.col(f"x{i}.*")) for i, f in enumerate(features)])
+    checked, xs = with_required(df.select(*features), features)
+    one_row = checked.agg(*[F.struct(*_statistics(x)).alias(x) for x in xs])
+    rows = F.array(*[F.struct(F.lit(f).alias("attribute"), F.col(f"{x}.*")) for f, x in zip(features, xs)])
     return one_row.select(F.inline(rows)).select("attribute", *metrics)
 
 

@@ -15,6 +15,8 @@ def local_session(app: str, cores: int | str = "*", **settings: str) -> SparkSes
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.driver.memory": "8g",
+        # Call sites of every column function cost the driver a second per query.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
