@@ -99,6 +99,10 @@ def reduce_candidates(spark: SparkSession, candidates: Centers, weights: Sequenc
     if len(candidates) <= k:
         return candidates
     rows = [(list(c), float(w)) for c, w in zip(candidates, weights, strict=True) if w > 0]
+    if k == 1:
+        # The estimator wants two clusters; the best single centre is the weighted mean.
+        total = sum(w for _, w in rows)
+        return [[sum(c[i] * w for c, w in rows) / total for i in range(len(candidates[0]))]]
     points = spark.createDataFrame(rows, "x array<double>, weight double").coalesce(1)
     points = points.select(array_to_vector("x").alias("x"), "weight")
     estimator = KMeans(featuresCol="x", weightCol="weight", k=k, maxIter=REDUCE_ROUNDS, seed=0)

@@ -6,6 +6,7 @@ matrix reaches the driver. Projection is un-centred, ``X . loadings``.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from itertools import combinations_with_replacement
 
@@ -82,18 +83,23 @@ def covariance(df: DataFrame, features: Features) -> DataFrame:
 def _wide_covariance(df: DataFrame, features: Features) -> DataFrame:
     """Correlation times the two deviations; both come from tree aggregations."""
     vectors = _vectors(df, features)
-    metrics = Summarizer.metrics("count", "std").summary(F.col("x"))
-    stats = vectors.select(metrics.alias("s")).select("s.count", "s.std").first()
+    metrics = Summarizer.metrics("count", "variance").summary(F.col("x"))
+    stats = vectors.select(metrics.alias("s")).select("s.count", "s.variance").first()
     if stats["count"] < 2:
         raise ValueError("covariance needs at least two rows")
-    std = [float(v) for v in stats["std"]]
+    variance = [float(v) for v in stats["variance"]]
+    std = [math.sqrt(v) for v in variance]
     correlation = Correlation.corr(vectors, "x").first()[0].toArray()
     names = _attributes(features, len(std))
     rows = []
     for i, j in combinations_with_replacement(range(len(std)), 2):
-        # A constant attribute has no correlation; its covariances are 0.
-        constant = std[i] == 0.0 or std[j] == 0.0
-        rows.append((names[i], names[j], 0.0 if constant else float(correlation[i, j]) * std[i] * std[j]))
+        if i == j:
+            cov = variance[i]
+        elif std[i] == 0.0 or std[j] == 0.0:
+            cov = 0.0  # a constant attribute has no correlation
+        else:
+            cov = float(correlation[i, j]) * std[i] * std[j]
+        rows.append((names[i], names[j], cov))
     return df.sparkSession.createDataFrame(rows, "attribute_a string, attribute_b string, cov double")
 
 
