@@ -12,21 +12,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# 13 hexadecimal digits are 52 bits: every value is exact in a double.
-_DIGITS = 13
-_RANGE = float(16**_DIGITS)
+# 52 bits of the hash: every value is exact in a double, and the smallest
+# probability that can be told from 0 is far below one row of any table.
+_BITS = 52
 
 
-def keyed_uniform(key: Sequence[str | Column], *seed: object) -> Column:
+def keyed_uniform(key: Sequence[str | Column], *seed: int) -> Column:
     """A uniform number in [0, 1) from the key columns and any number of seeds.
 
-    Keys are compared as text, so use integer or string columns (the text of
-    timestamps and doubles is not the same in every engine).
+    The hash looks at types: cast if the same key is an int here and a bigint there.
     """
-    parts = [_column(k).cast("string") for k in key]
-    text = F.concat_ws(":", *parts, *[F.lit(str(s)) for s in seed])
-    digits = F.substring(F.md5(text), 1, _DIGITS)
-    return F.conv(digits, 16, 10).cast("bigint").cast("double") / F.lit(_RANGE)
+    seeds = [F.lit(int(s)).cast("bigint") for s in seed]
+    hashed = F.xxhash64(*seeds, *[_column(k) for k in key])
+    return F.shiftrightunsigned(hashed, 64 - _BITS).cast("double") / F.lit(float(2**_BITS))
 
 
 def uniform(key: Sequence[str | Column] | None, *seed: int) -> Column:

@@ -136,9 +136,13 @@ def assign(
     centers: Centers,
     cluster: str = "cluster",
     distance: str = "sq_distance",
+    terms: int | None = None,
 ) -> DataFrame:
-    """Add the closest centre's index and its squared distance; ties go to the lowest index."""
-    assigned, inputs = _nearest(df, features, centers, cluster, distance)
+    """Add the closest centre's index and its squared distance; ties go to the lowest index.
+
+    ``terms`` limits the size of a written-out expression, see ``vectors``.
+    """
+    assigned, inputs = _nearest(df, features, centers, cluster, distance, terms)
     return assigned.drop(*inputs)
 
 
@@ -244,10 +248,10 @@ def train(
 
 
 def _nearest(
-    df: DataFrame, features: Features, centers: Centers, cluster: str, distance: str
+    df: DataFrame, features: Features, centers: Centers, cluster: str, distance: str, terms: int | None = None
 ) -> tuple[DataFrame, list[str]]:
     """Assignment plus the names of the checked inputs it added: columns or one array."""
-    if not is_narrow(features, len(centers)):
+    if not is_narrow(features, len(centers), terms):
         found = df.withColumn("__x", feature_array(features)).withColumn("__near", nearest_udf(centers)("__x"))
         found = found.withColumn(distance, F.col("__near.d")).withColumn(cluster, F.col("__near.j"))
         return found.drop("__near"), ["__x"]

@@ -9,7 +9,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orelode.functions.vectors import Features, feature_array
+from orelode.functions.vectors import FILTERED_TERMS, Features, feature_array
 from orelode.operators.kmeans import PARALLEL, Centers, KMeansParams, assign, attribute_names
 from orelode.operators.sampling import Key, sample_by_probability, take_sample
 
@@ -48,7 +48,7 @@ def with_cost(
     If ``df`` already has the cost against earlier centres, only the distances to
     the new ones are computed and the smaller value is kept.
     """
-    found = assign(df, features, new_centers, "__cluster", "__new_cost").drop("__cluster")
+    found = assign(df, features, new_centers, "__cluster", "__new_cost", FILTERED_TERMS).drop("__cluster")
     smaller = F.least(cost, "__new_cost") if cost in df.columns else F.col("__new_cost")
     return found.withColumn(cost, smaller).drop("__new_cost")
 

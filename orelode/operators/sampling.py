@@ -34,7 +34,9 @@ def split_train_test(df: DataFrame, train_share: float, key: Key, seed: int) ->
 
 def take_sample(df: DataFrame, n: int, key: Key, seed: int) -> DataFrame:
     """``n`` rows without replacement: the smallest uniforms, a distributed top-n."""
-    return df.orderBy(uniform(key, seed)).limit(n)
+    # As a column the uniform is computed once per row, not at every comparison.
+    drawn = df.withColumn("__u", uniform(key, seed))
+    return drawn.orderBy("__u").limit(n).drop("__u")
 
 
 def sample_by_probability(df: DataFrame, probability: Column, key: Key, *seed: int) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orelode.operators.partitions import spread
+
 SEED = 7
 
 # Columns that identify a lineitem row.
@@ -52,7 +54,8 @@ def embeddings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select("doc_id", "text")
+    """Document texts. Splitting and counting words costs more than moving the texts."""
+    return spread(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
 
 
 def ratings(spark: SparkSession, folder: str) -> DataFrame:

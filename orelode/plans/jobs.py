@@ -8,14 +8,13 @@ keep the line they came from.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
 
 from orelode.operators import als, kmeans, naive_bayes, pca, sampling, summary, tfidf
+from orelode.operators.partitions import persisted
 from orelode.sources import lines, storage
 
 SAMPLE_ROWS = 100
@@ -40,7 +39,7 @@ def run_kmeans(
     **settings,
 ) -> KMeansReport:
     """Cluster phone activity, save the centres, report the patterns."""
-    with _persisted(lines.read_activity(spark, in_path)) as rows:
+    with persisted(lines.read_activity(spark, in_path)) as rows:
         run = kmeans.train(rows, list(lines.ACTIVITY_FEATURES), k, max_iter, seed=seed, **settings)
     storage.save_kmeans(spark, run.model, model_path)
     model = storage.load_kmeans(spark, model_path)
@@ -135,7 +134,7 @@ def train_als(
     spark: SparkSession, in_path: str, model_path: str, rank: int, iterations: int, seed: int | None = None
 ) -> ALSModel:
     """Train on a ratings file and save the model."""
-    with _persisted(lines.read_ratings(spark, in_path)) as ratings:
+    with persisted(lines.read_ratings(spark, in_path)) as ratings:
         model = als.train(ratings, rank, iterations, seed)
     storage.save_als(model, model_path)
     return model
@@ -149,12 +148,3 @@ def predict_als(
     storage.write_result(predictions, out_path, fmt)
     return als.top_predictions(predictions, SAMPLE_ROWS)
 
-
-@contextmanager
-def _persisted(df: DataFrame):
-    """Keep parsed text while an iterative job reads it again and again."""
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield kept
-    finally:
-        kept.unpersist()

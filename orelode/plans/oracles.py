@@ -16,6 +16,7 @@ from orelode.plans.queries import (
 )
 
 KEY_LIST = ", ".join(KEY)
+INT_KEYS = ("l_linenumber", '"user"', "item")
 _QTY_KEY = "cast(l_quantity as bigint) as qty_key"
 _ITEM_KEY = f"{', '.join(KEY[:4])}, {_QTY_KEY}"
 
@@ -43,11 +44,62 @@ FLOWER_NAME = """case event_type when 'click' then 'Iris-setosa'
   when 'view' then 'Iris-versicolor' else event_type end"""
 
 
-def uniform(key: list[str], *seed: object) -> str:
-    """The keyed uniform of the samplers."""
-    text = " || ':' || ".join([*[f"cast({k} as varchar)" for k in key], *[f"'{s}'" for s in seed]])
-    digits = f"substr(md5({text}), 1, 13)"
-    return f"cast(cast('0x' || {digits} as bigint) as double) / cast(4503599627370496 as double)"
+# The multipliers of the 64-bit hash (XXH64).
+P1, P2, P3 = 0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
+P4, P5 = 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5
+WORD = 2**64
+
+
+def _times(a: str, factor: int) -> str:
+    return f"((({a}) * {factor}::uhugeint) & {WORD - 1}::uhugeint)"
+
+
+def _turn(a: str, bits: int) -> str:
+    return f"({_times(a, 2**bits)} | (({a}) >> {64 - bits}::uhugeint))"
+
+
+def _fold(a: str, bits: int) -> str:
+    return f"xor({a}, ({a}) >> {bits}::uhugeint)"
+
+
+def _hash_of_seeds(seeds: list[int]) -> int:
+    """The state after the seeds, which come first and are the same for all rows."""
+    turn = lambda v, r: ((v << r) | (v >> (64 - r))) % WORD
+    state = 42
+    for seed in seeds:
+        x = ((state + P5 + 8) % WORD) ^ (turn(seed * P2 % WORD, 31) * P1 % WORD)
+        y = (turn(x, 27) * P1 + P4) % WORD
+        z = (y ^ (y >> 33)) * P2 % WORD
+        w = (z ^ (z >> 29)) * P3 % WORD
+        state = w ^ (w >> 32)
+    return state
+
+
+def with_uniform(source: str, key: list[str], *seeds: int, name: str = "u") -> str:
+    """A subquery: ``source`` with the samplers' uniform of key and seeds.
+
+    The hash goes over the key columns one by one; 4-byte integers (INT_KEYS) are
+    mixed in another way than 8-byte ones. Every step is a select of its own, as each
+    uses the one before twice.
+    """
+    words = ", ".join(
+        (_times(f'{k}::uhugeint', P1) if k in INT_KEYS else _times(f'{k}::uhugeint', P2)) + f" as w{i}"
+        for i, k in enumerate(key)
+    )
+    sql = f"(select *, {_hash_of_seeds(list(seeds))}::uhugeint as s, {words} from {source})"
+    for i, k in enumerate(key):
+        size, turned = (4, f"w{i}") if k in INT_KEYS else (8, _times(_turn(f"w{i}", 31), P1))
+        start = f"((s + {P5 + size}::uhugeint) & {WORD - 1}::uhugeint)"
+        sql = f"(select * exclude (s), xor({start}, {turned}) as x from {sql})"
+        bits, factor, plus = (23, P2, P3) if k in INT_KEYS else (27, P1, P4)
+        mixed = f"(({_times(_turn('x', bits), factor)} + {plus}::uhugeint) & {WORD - 1}::uhugeint)"
+        sql = f"(select * exclude (x), {mixed} as y from {sql})"
+        sql = f"(select * exclude (y), {_times(_fold('y', 33), P2)} as z from {sql})"
+        sql = f"(select * exclude (z), {_times(_fold('z', 29), P3)} as v from {sql})"
+        sql = f"(select * exclude (v), {_fold('v', 32)} as s from {sql})"
+    dropped = ", ".join(["s", *[f"w{i}" for i in range(len(key))]])
+    value = "cast((s >> 12::uhugeint) as double) / cast(4503599627370496 as double)"
+    return f"(select * exclude ({dropped}), {value} as {name} from {sql})"
 
 
 def double(v: float) -> str:
@@ -146,11 +198,13 @@ SUMMARY = (
     "count({f}) as n, round(avg({f}), 6) as mean, min({f}) as min, max({f}) as max, " + variance("{f}")
 )
 
-TRAIN = f"{uniform(KEY, SEED)} < {double(TRAIN_SHARE)}"
+TRAIN = f"u < {double(TRAIN_SHARE)}"
+DRAWN = with_uniform("items", KEY, SEED)
 
 NB_MODEL = f"""{SCALED_ITEMS},
-training as materialized (select * from items where {TRAIN}),
-test as materialized (select * from items where not ({TRAIN})),
+drawn as materialized (select * from {DRAWN}),
+training as materialized (select * from drawn where {TRAIN}),
+test as materialized (select * from drawn where not ({TRAIN})),
 sums as materialized (
   select label, count(*) as n, {', '.join(f'sum({f}) as {f}' for f in SCALED)},
          {' + '.join(f'sum({f})' for f in SCALED)} as whole
@@ -244,12 +298,12 @@ tf as materialized (
 def _first_round(k: int = 4) -> str:
     return f"""{ITEMS},
 first_one as materialized (
-  select {', '.join(F4)} from items order by {uniform(KEY, SEED)} limit 1),
+  select {', '.join(F4)} from {DRAWN} order by u limit 1),
 costed as materialized (
   select i.*, {distance('i', 'c')} as cost from items i cross join first_one c),
 chosen as materialized (
-  select * from costed
-  where {uniform(KEY, SEED, 0)} < cast(2 as double) * cost * cast({k} as double) / (select sum(cost) from costed))"""
+  select * from {with_uniform('costed', KEY, SEED, 0)}
+  where u < cast(2 as double) * cost * cast({k} as double) / (select sum(cost) from costed))"""
 
 
 def _parse_events(columns: str) -> str:
@@ -261,9 +315,9 @@ def _scaled_centers() -> list[list[float]]:
 
 
 _ZERO = "cast(0 as double)"
-_SPARSE = f"{uniform(['\"user\"', 'item'], SEED)} < {double(ALS_SPARSE_SHARE)}"
+_RATINGS_DRAWN = with_uniform("ratings", ['"user"', "item"], SEED)
 _KNOWN_PAIRS = f"""with {RATINGS},
-known as materialized (select * from ratings where {_SPARSE})
+known as materialized (select * from {_RATINGS_DRAWN} where u < {double(ALS_SPARSE_SHARE)})
 select "user", item from ratings
 where "user" in (select "user" from known) and item in (select item from known)"""
 
@@ -308,10 +362,10 @@ select {KEY_LIST}, round(sqrt({' + '.join(f'{f} * {f}' for f in SCALED)}), 8) as
     "sq_distance_array": f"""with {EMB}
 select vec_id, round(sum((x - pos / 64.0::double) * (x - pos / 64.0::double)), 8) as sq_distance
 from emb group by vec_id""",
-    "split_train_test": f"""with {ITEMS} select {KEY_LIST}, {TRAIN} as in_train from items""",
+    "split_train_test": f"""with {ITEMS} select {KEY_LIST}, {TRAIN} as in_train from {DRAWN}""",
     "split_train_test_sizes": f"""with {ITEMS}
-select case when {TRAIN} then 'train' else 'test' end as side, count(*) as n from items group by 1""",
-    "take_sample": f"with {ITEMS} select {KEY_LIST}, {', '.join(F4)} from items order by {uniform(KEY, SEED)} limit 50",
+select case when {TRAIN} then 'train' else 'test' end as side, count(*) as n from {DRAWN} group by 1""",
+    "take_sample": f"with {ITEMS} select {KEY_LIST}, {', '.join(F4)} from {DRAWN} order by u limit 50",
     "kmeans_assign": f"""with {ITEMS}, {centers_cte('c', CENTERS)}, {assign_cte('a', 'c')}
 select {KEY_LIST}, cast(j as integer) as cluster, round(d, 4) as sq_distance from a""",
     "kmeans_assign_array": f"""with {EMB}, {EMB_CENTERS}, {emb_assign('a', 'ec')}
@@ -354,7 +408,7 @@ select cast({PASSES} as integer) as iterations,
   (select max({distance('n', 'o')}) <= 1e-8 from c{PASSES} n join c{PASSES - 1} o on n.j = o.j) as converged,
   round(sum(d) / 1e9, 4) as cost_bn from a{PASSES - 1}""",
     "kmeans_init_random": f"""with {ITEMS}
-select distinct {', '.join(F4)} from (select * from items order by {uniform(KEY, SEED)} limit 4)""",
+select distinct {', '.join(F4)} from (select * from {DRAWN} order by u limit 4)""",
     "kmeans_parallel_round": f"""with {_first_round()}
 select {KEY_LIST}, {', '.join(F4)}, round(cost, 4) as cost from chosen""",
     "kmeans_candidate_weights": f"""with {_first_round()},
@@ -382,7 +436,7 @@ from scored""",
     "nb_top100": f"""with {NB_SCORED}
 select prediction, {KEY_LIST} from scored order by prediction, {KEY_LIST} limit 100""",
     "nb_model_roundtrip": f"""with {SCALED_ITEMS}
-select count(*) as n, cast(0 as bigint) as differing from items where not ({TRAIN})""",
+select count(*) as n, cast(0 as bigint) as differing from {DRAWN} where not ({TRAIN})""",
     "pca_covariance": f"""with {SCALED_ITEMS}
 {' union all '.join(
         f"select '{a}' as attribute_a, '{b}' as attribute_b, round(covar_samp({a}, {b}), 6) as cov from items"

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from orelode.functions.text import class_code, number_or_zero
 from orelode.functions.vectors import l2_norm, sq_distance
 from orelode.operators import als, kmeans, kmeans_start, naive_bayes, pca, sampling, summary, tfidf
+from orelode.operators.partitions import persisted, spread
 from orelode.plans.inputs import (
     CENTERS,
     EMBEDDING,
@@ -314,21 +315,23 @@ def kmeans_candidate_weights(spark, folder):
 
 @query
 def kmeans_reduce_candidates(spark, folder):
-    items = line_items(spark, folder)
-    start = kmeans_start.parallel_start(items, F4, 4, 2, SEED, KEY)
+    with persisted(spread(line_items(spark, folder), *KEY)) as items:
+        start = kmeans_start.parallel_start(items, F4, 4, 2, SEED, KEY)
     return kmeans.KMeansModel(F4, start).centers_frame(spark)
 
 
 @query
 def kmeans_train(spark, folder):
-    run = kmeans.train(line_items(spark, folder), F4, 4, 10, seed=SEED, key=KEY)
+    with persisted(spread(line_items(spark, folder), *KEY)) as items:
+        run = kmeans.train(items, F4, 4, 10, seed=SEED, key=KEY)
     return run.patterns(spark)
 
 
 @query
 def kmeans_train_check(spark, folder):
     """A trained model's clusters hold every row once, and their means are its centres."""
-    run = kmeans.train(line_items(spark, folder), F4, 4, 10, init_mode=kmeans.RANDOM, seed=SEED, key=KEY)
+    with persisted(spread(line_items(spark, folder), *KEY)) as items:
+        run = kmeans.train(items, F4, 4, 10, init_mode=kmeans.RANDOM, seed=SEED, key=KEY)
     both = run.patterns(spark).join(run.model.centers_frame(spark), ["cluster", "attribute"])
     return both.groupBy("attribute").agg(
         F.sum("n").alias("n"), F.max(F.abs(F.col("mean") - F.col("center"))).alias("largest_difference")
