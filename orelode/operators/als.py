@@ -19,16 +19,20 @@ def train(
     item: str = "item",
     rating: str = "rating",
     reg: float = LAMBDA,
+    blocks: int | None = None,
 ) -> ALSModel:
     """Factorise (user, item, rating) with integer ids.
 
     Unknown users and items are dropped when the model scores. Long runs cut their
     lineage in the folder of ``spark.checkpoint.dir``, if the cluster names one.
+    The ratings are cut into ``blocks`` x ``blocks`` parts, one block per core unless
+    told otherwise: the estimator's own 10 would not fit executors on large inputs.
     """
     if rank < 1:
         raise ValueError(f"rank must be positive but got {rank}")
     if iterations < 0:
         raise ValueError(f"iterations must not be negative but got {iterations}")
+    blocks = blocks or ratings.sparkSession.sparkContext.defaultParallelism
     estimator = ALS(
         rank=rank,
         maxIter=iterations,
@@ -36,6 +40,8 @@ def train(
         userCol=user,
         itemCol=item,
         ratingCol=rating,
+        numUserBlocks=blocks,
+        numItemBlocks=blocks,
         coldStartStrategy="drop",
         **({} if seed is None else {"seed": seed}),
     )

@@ -115,11 +115,11 @@ def test_agrees_with_ml(spark):
     )
     names = [f"c{i}" for i in range(d)]
     vectors = VectorAssembler(inputCols=names, outputCol="features").transform(df)
-    reference = NaiveBayes(smoothing=1.0).fit(vectors)
+    fitted = NaiveBayes(smoothing=1.0).fit(vectors)
     model = naive_bayes.train(df, "label", names)
-    assert np.allclose(model.pi, reference.pi.toArray(), rtol=1e-12)
-    assert np.allclose(model.theta, reference.theta.toArray(), rtol=1e-12)
-    both = model.predict(reference.transform(vectors).withColumnRenamed("prediction", "expected"))
+    assert np.allclose(model.pi, fitted.pi.toArray(), rtol=1e-12)
+    assert np.allclose(model.theta, fitted.theta.toArray(), rtol=1e-12)
+    both = model.predict(fitted.transform(vectors).withColumnRenamed("prediction", "expected"))
     assert both.filter("prediction <> expected").count() == 0
 
 
