@@ -78,8 +78,11 @@ def parallel_candidates(
             break
         costed = with_cost(costed, features, newest, "__candidate_cost")
         chosen = parallel_round(costed, k, seed, round_number, key, "__candidate_cost")
-        # Sorted, as the order of collected rows depends on the partitioning.
-        newest = sorted(_points(chosen, features))
+        # Copies of a row are one candidate; made distinct before they are collected,
+        # as a key that is not unique draws all copies together. Sorted, as the order
+        # of collected rows depends on the partitioning.
+        columns = [features] if isinstance(features, str) else list(features)
+        newest = sorted(_points(chosen.select(*columns).dropDuplicates(), features))
         candidates = candidates + newest
     return _distinct(candidates)
 

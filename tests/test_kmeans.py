@@ -211,6 +211,16 @@ def test_rounds_keep_the_smaller_cost(spark, blobs):
     assert sorted(chained.collect()) == sorted(whole.select(chained.columns).collect())
 
 
+def test_copies_are_one_candidate(spark):
+    """A third of the rows are copies that share their key: all are drawn together."""
+    df = spark.range(3000).selectExpr("if(id % 3 = 0, -1, id) AS id", "if(id % 3 = 0, 1e6, cast(id % 100 AS double)) AS x")
+    for seed in range(3):
+        found = kmeans_start.parallel_candidates(df, ["x"], 2, 2, seed, ["id"])
+        assert len(found) == len({tuple(c) for c in found}) < 40
+    run = kmeans.train(df, ["x"], 2, 5, seed=1, key=["id"])
+    assert sorted(r.n for r in run.patterns(spark).collect()) == [1000, 2000]
+
+
 def test_round_on_rows_without_cost(spark):
     costed = kmeans_start.with_cost(frame(spark, [1, 1]), ["x"], [[1.0]])
     assert kmeans_start.parallel_round(costed, 2, 1, 0).count() == 0
