@@ -231,7 +231,8 @@ def train(
     """Choose a start (unless a model is given) and iterate.
 
     With ``key``, columns that identify a row, the result depends on the seed only;
-    without, also on the partitioning. Fewer than ``k`` clusters may come back if
+    without, also on the partitioning. Rows that share a key are drawn all or none,
+    so leave the key out if it is not unique. Fewer than ``k`` clusters may come back if
     there are fewer distinct rows.
     """
     from orelode.operators.kmeans_start import start_centers

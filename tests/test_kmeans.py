@@ -212,13 +212,17 @@ def test_rounds_keep_the_smaller_cost(spark, blobs):
 
 
 def test_copies_are_one_candidate(spark):
-    """A third of the rows are copies that share their key: all are drawn together."""
-    df = spark.range(3000).selectExpr("if(id % 3 = 0, -1, id) AS id", "if(id % 3 = 0, 1e6, cast(id % 100 AS double)) AS x")
+    """A third of the rows are equal. Whether or not their keys differ, they are one candidate."""
+    df = spark.range(3000).selectExpr("id", "if(id % 3 = 0, 1e6, cast(id % 100 AS double)) AS x")
+    shared_key = df.withColumn("id", F.expr("if(id % 3 = 0, -1, id)"))
+    for rows in (df, shared_key):
+        for seed in range(3):
+            found = kmeans_start.parallel_candidates(rows, ["x"], 2, 2, seed, ["id"])
+            assert len(found) == len({tuple(c) for c in found}) < 40
+    # With keys that identify a row the copies are drawn as often as their cost asks.
     for seed in range(3):
-        found = kmeans_start.parallel_candidates(df, ["x"], 2, 2, seed, ["id"])
-        assert len(found) == len({tuple(c) for c in found}) < 40
-    run = kmeans.train(df, ["x"], 2, 5, seed=1, key=["id"])
-    assert sorted(r.n for r in run.patterns(spark).collect()) == [1000, 2000]
+        run = kmeans.train(df, ["x"], 2, 5, seed=seed, key=["id"])
+        assert sorted(r.n for r in run.patterns(spark).collect()) == [1000, 2000]
 
 
 def test_round_on_rows_without_cost(spark):
