@@ -8,6 +8,28 @@ _UNIT = """usable as (
     and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
     and len(list_filter(embedding, lambda x: x <> 0)) > 0)"""
 
+OP2 = r"""with recursive docs as materialized (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents),
+shingles as materialized (
+  select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) = 1 then [w[1]]
+           else list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) end) as s
+  from docs),
+sizes as materialized (select doc_id, count(*) as n from shingles group by doc_id),
+common as (
+  select a.doc_id as a, b.doc_id as b, count(*) as c
+  from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by 1, 2),
+links as materialized (
+  select a, b from common join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+  where 100 * c >= 80 * (x.n + y.n - c)),
+both as materialized (select a, b from links union all select b, a from links),
+reach(a, b) as (select a, b from both union select reach.a, both.b from reach join both on reach.b = both.a),
+lowest as (select a as doc_id, min(b) as m from reach group by a)
+select docs.doc_id, coalesce(n, 0) as n_shingles, least(docs.doc_id, coalesce(m, docs.doc_id)) as component_id,
+       docs.doc_id <= coalesce(m, docs.doc_id) as kept
+from docs left join sizes on docs.doc_id = sizes.doc_id left join lowest on docs.doc_id = lowest.doc_id"""
+
 OP7 = f"""with {_UNIT},
 scored as (
   select q.vec_id as query_id, c.vec_id,
@@ -59,4 +81,4 @@ select doc_id, size, t.source_size, round(t.target, 6) as target,
 from docs join targets t on docs.source is not distinct from t.source
   join lasts l on docs.source is not distinct from l.source"""
 
-ORACLES = {"op7_vantage_trees": OP7, "op9_hash_mixture": OP9}
+ORACLES = {"op2_tensor_minhash": OP2, "op7_vantage_trees": OP7, "op9_hash_mixture": OP9}

@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from orelode.llm import ans_tokens, centroid_language, hash_mixture
+from orelode.llm import ans_tokens, centroid_language, hash_mixture, string_tiling, tensor_minhash
 from orelode.llm.queries import END_ID, WEIGHTS, table
 from orelode.session import ship_package
 from orelode.sources.storage import stage, work_path
@@ -21,6 +21,17 @@ def known_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFra
     return centroid_language.keep_known(docs, centroid_language.fit(docs))
 
 
+def one_of_each(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """One document of each group of near duplicates, on shingles of five words."""
+    ship_package(spark)
+    return tensor_minhash.keep_one(docs)
+
+
+def without_leaks(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark."""
+    return string_tiling.keep_clean(docs, table(spark, folder, "benchmark"))
+
+
 def mixed_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Each document as often as the mix of sources takes it, from not at all to three times."""
     ship_package(spark)
@@ -37,11 +48,13 @@ def token_file(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 STAGES = [
     ("language", known_language),
+    ("near_copies", one_of_each),
+    ("benchmark", without_leaks),
     ("mixture", mixed_sources),
     ("tokens", token_file),
 ]
 
-#: SQL expresses neither the classifier nor the token file.
+#: SQL expresses neither the classifier nor the tokenizer.
 ORACLE_SQL = None
 
 

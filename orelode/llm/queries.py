@@ -9,10 +9,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orelode.llm import ans_tokens, centroid_language, hash_mixture, token_counts, vantage_trees, zstd_secrets
+from orelode.llm import (
+    ans_tokens,
+    centroid_language,
+    hash_mixture,
+    html_layout,
+    string_tiling,
+    suffix_repeats,
+    tensor_minhash,
+    token_counts,
+    vantage_trees,
+    zstd_secrets,
+)
 from orelode.session import ship_package
 from orelode.sources.storage import work_path
 
+REPEAT_BYTES = 200
+LINK_WORDS, LINK_SHARE = 2, 80
 END_ID = 2
 TOKEN_LIMIT = 1024
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -24,6 +37,25 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without the strings of 200 bytes that occur elsewhere."""
+    left = suffix_repeats.without_repeats(table(spark, folder, "documents"), REPEAT_BYTES)
+    removed = F.col("n_bytes") - F.octet_length("kept")
+    return left.select(
+        "doc_id",
+        "n_bytes",
+        removed.cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op2_tensor_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """The group of near duplicates of every document, on shingles of two words."""
+    found = tensor_minhash.near_duplicates(table(spark, folder, "documents"), LINK_WORDS, LINK_SHARE)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op3_ans_tokens(spark: SparkSession, folder: str) -> DataFrame:
     """Encode all documents, write the token file, and describe each document as read back."""
     path = work_path(spark, f"token-file-{uuid.uuid4().hex[:8]}")
@@ -49,6 +81,18 @@ def op4_zstd_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_html_layout(spark: SparkSession, folder: str) -> DataFrame:
+    """Title and visible text of every page."""
+    return html_layout.extract(table(spark, folder, "pages"))
+
+
+def op6_string_tiling(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document and benchmark item that leaks into it."""
+    leaks = string_tiling.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    share = F.round(F.col("n_covered") / F.col("n_words"), 6).alias("coverage")
+    return leaks.select("doc_id", "item_id", "n_words", "n_covered", "n_tiles", share)
+
+
 def op7_vantage_trees(spark: SparkSession, folder: str) -> DataFrame:
     """The 5 nearest of all embeddings to each whose id 50 divides; factor 1, so none is missed."""
     embeddings = table(spark, folder, "embeddings")
@@ -81,8 +125,12 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_suffix_repeats,
+        op2_tensor_minhash,
         op3_ans_tokens,
         op4_zstd_secrets,
+        op5_html_layout,
+        op6_string_tiling,
         op7_vantage_trees,
         op8_centroid_language,
         op9_hash_mixture,
