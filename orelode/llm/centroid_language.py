@@ -72,7 +72,8 @@ def fit(
     sample has to its own language, times ``reject``.
     Without any usable row the model knows no language.
     """
-    rows = df.select(F.col(label).alias("lang"), F.col(text).alias("text")).where("lang is not null and text is not null")
+    rows = df.select(F.col(label).alias("lang"), F.col(text).alias("text"))
+    rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     counted = rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
     if len(counted) > MAX_LANGUAGES:
         raise ValueError(f"{label} has more than {MAX_LANGUAGES} values")
@@ -84,9 +85,7 @@ def fit(
     idf = _idf(sample, dims)
 
     def cluster(group: pd.DataFrame) -> pd.DataFrame:
-        texts = sorted(t for t in group["text"] if has_letter(t))
-        if not texts:
-            return pd.DataFrame({"lang": [], "centroid": [], "lowest": []})
+        texts = sorted(group["text"])
         x = normalised(np.stack([counts(t, dims) for t in texts]), idf)
         centres = spherical_kmeans(x, centroids)
         lowest = float((x @ centres.T).max(1).min())

@@ -23,8 +23,8 @@ common as (
 links as materialized (
   select a, b from common join sizes x on x.doc_id = a join sizes y on y.doc_id = b
   where 100 * c >= 80 * (x.n + y.n - c)),
-both as materialized (select a, b from links union all select b, a from links),
-reach(a, b) as (select a, b from both union select reach.a, both.b from reach join both on reach.b = both.a),
+ways as materialized (select a, b from links union all select b, a from links),
+reach(a, b) as (select a, b from ways union select reach.a, ways.b from reach join ways on reach.b = ways.a),
 lowest as (select a as doc_id, min(b) as m from reach group by a)
 select docs.doc_id, coalesce(n, 0) as n_shingles, least(docs.doc_id, coalesce(m, docs.doc_id)) as component_id,
        docs.doc_id <= coalesce(m, docs.doc_id) as kept

@@ -4,7 +4,7 @@ Two collections of HALVES keys, each made of WIDTH minimum hashes, give HALVES s
 tables: table (i, j) is keyed by key i of the first and key j of the second collection.
 So 2 * HALVES * WIDTH hash functions serve HALVES ** 2 tables of 2 * WIDTH functions.
 Documents of similarity s share a table with probability (1 - (1 - s**WIDTH)**HALVES)**2:
-0.9996 for s = 0.8, over 0.99999 from s = 0.85, 0.00004 for s = 0.1.
+0.9996 for s = 0.8, 0.99997 for s = 0.85, 0.0001 for s = 0.1.
 
 Documents of equal sets form a class and are handled once. In a table's bucket every
 class is compared with the first one, not with all others: first each class with the
