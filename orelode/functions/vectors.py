@@ -8,8 +8,9 @@ attribute) or as one array column. Two forms of the same arithmetic are used:
 * beyond that the generated Java method is too long for the JVM to compile and
   runs several times slower, so an Arrow UDF works on whole column batches instead.
 
-Both add the squared differences attribute by attribute in the same order and
-give bit-equal results.
+Both add the terms attribute by attribute in the same order and give bit-equal
+results. Both take finite numbers only: a feature that is NULL, NaN or infinite
+raises, as does an array that is NULL, empty or not as wide as the model.
 """
 
 from __future__ import annotations
@@ -43,14 +44,15 @@ def name(column: str) -> str:
 
 
 def required_sql(column: str) -> str:
-    """The column as a double that may not be NULL: a NULL raises.
+    """The column as a finite double: NULL, NaN and infinity raise.
 
     The last argument only tells the optimizer that the result is never NULL,
     which halves the code generated for each distance term.
     """
     label = column.replace("\\", "\\\\").replace("'", "\\'")
-    message = f"cast(raise_error('NULL in feature {label}') AS double)"
-    return f"coalesce(cast({name(column)} AS double), {message}, 0D)"
+    value = f"cast({name(column)} AS double)"
+    message = f"cast(raise_error('NULL, NaN or infinity in feature {label}') AS double)"
+    return f"coalesce(CASE WHEN abs({value}) < double('Infinity') THEN {value} END, {message}, 0D)"
 
 
 def with_required(df: DataFrame, features: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -60,31 +62,38 @@ def with_required(df: DataFrame, features: Sequence[str]) -> tuple[DataFrame, li
     return df.selectExpr("*", *checked), xs
 
 
-def feature_array(features: Features) -> Column:
-    """The features of a row as one array of doubles."""
+def feature_array(features: Features, width: int | None = None) -> Column:
+    """The features of a row as one array of finite doubles; anything else raises.
+
+    Without ``width`` an array column may have any number of attributes but none.
+    """
     if isinstance(features, str):
-        return F.col(features).cast("array<double>")
+        values = F.col(features).cast("array<double>")
+        fits = F.size(values) > 0 if width is None else F.size(values) == width
+        finite = F.forall(values, lambda v: F.abs(v) < float("inf"))
+        wanted = "attributes" if width is None else f"{width} attributes"
+        bad = F.raise_error(F.lit(f"a row of {features} has not {wanted}, all finite")).cast("array<double>")
+        return F.when(values.isNotNull() & fits & finite, values).otherwise(bad)
     return F.expr(f"array({', '.join(required_sql(f) for f in features)})")
 
 
 def l2_norm(features: Features) -> Column:
     """Euclidean length of a row."""
     if isinstance(features, str):
-        squares = F.expr(f"aggregate(cast({name(features)} as array<double>), 0D, (s, v) -> s + v * v)")
+        squares = F.aggregate(feature_array(features), F.lit(0.0), lambda s, v: s + v * v)
     else:
-        squares = F.expr(" + ".join(f"{name(f)} * {name(f)}" for f in features))
+        squares = F.expr(" + ".join(f"{x} * {x}" for x in map(required_sql, features)))
     return F.sqrt(squares)
 
 
 def sq_distance(features: Features, center: Sequence[float]) -> Column:
     """Squared Euclidean distance of a row to a fixed point."""
     if isinstance(features, str):
-        point = ", ".join(double_literal(v) for v in center)
-        return F.expr(
-            f"aggregate(zip_with(cast({name(features)} as array<double>), array({point}), "
-            "(a, b) -> (a - b) * (a - b)), 0D, (s, v) -> s + v)"
-        )
-    return F.expr(sq_distance_sql(features, center))
+        point = F.array(*[F.expr(double_literal(v)) for v in center])
+        squares = F.zip_with(feature_array(features, len(center)), point, lambda a, b: (a - b) * (a - b))
+        return F.aggregate(squares, F.lit(0.0), lambda s, v: s + v)
+    terms = [f"({required_sql(f)} - {double_literal(v)})" for f, v in zip(features, center, strict=True)]
+    return F.expr(" + ".join(f"{t} * {t}" for t in terms))
 
 
 def sq_distance_sql(features: Sequence[str], center: Sequence[float]) -> str:
@@ -165,6 +174,24 @@ def linear_argmax_udf(weights: Sequence[Sequence[float]], starts: Sequence[float
     return _arrow(argmax, "int")
 
 
+def linear_udf(weights: Sequence[Sequence[float]]):
+    """Arrow UDF: array of doubles -> array with ``x . weights`` for each row of weights."""
+    matrix = np.asarray(weights, dtype="float64")
+    attributes = _attribute_reader(matrix.shape[1])
+
+    def products(x: pa.Array) -> pa.Array:
+        columns = attributes(x)
+        out = np.zeros((len(x), len(matrix)))
+        # Attribute by attribute, as the written-out form adds.
+        for i, column in enumerate(columns):
+            term = np.multiply.outer(column, matrix[:, i])
+            out = term if i == 0 else out + term
+        offsets = pa.array(np.arange(len(x) + 1, dtype="int32") * len(matrix))
+        return pa.ListArray.from_arrays(offsets, pa.array(out.ravel()))
+
+    return _arrow(products, "array<double>")
+
+
 def _attribute_reader(width: int):
     """A function from a batch of arrays to one row of numbers per attribute.
 
@@ -178,6 +205,8 @@ def _attribute_reader(width: int):
         if x.null_count or flat.null_count or even is False:
             raise ValueError(f"every row needs {width} attributes and none may be NULL")
         values = flat.to_numpy(zero_copy_only=False).reshape(len(x), width)
+        if not np.isfinite(values).all():
+            raise ValueError("no attribute may be NaN or infinite")
         return np.ascontiguousarray(values.T)
 
     return attributes

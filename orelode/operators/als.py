@@ -6,9 +6,13 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orelode.sources.staging import stage
+
 # Fixed value: the regularisation the ratings model is trained with.
 LAMBDA = 0.01
 
+BLOCKS, RATINGS_PER_BLOCK = 8, 4_000_000
+
 
 def train(
     ratings: DataFrame,
@@ -25,14 +29,16 @@ def train(
 
     Unknown users and items are dropped when the model scores. Long runs cut their
     lineage in the folder of ``spark.checkpoint.dir``, if the cluster names one.
-    The ratings are cut into ``blocks`` x ``blocks`` parts, one block per core unless
-    told otherwise: the estimator's own 10 would not fit executors on large inputs.
+    The ratings are cut into ``blocks`` x ``blocks`` parts, which the result depends on.
+    Unless told otherwise there is one block per RATINGS_PER_BLOCK ratings and BLOCKS at
+    least, so the same ratings give the same result on any cluster. All ratings of one
+    user (and of one item) are in one block.
     """
     if rank < 1:
         raise ValueError(f"rank must be positive but got {rank}")
     if iterations < 0:
         raise ValueError(f"iterations must not be negative but got {iterations}")
-    blocks = blocks or ratings.sparkSession.sparkContext.defaultParallelism
+    blocks = blocks or max(BLOCKS, -(-ratings.count() // RATINGS_PER_BLOCK))
     estimator = ALS(
         rank=rank,
         maxIter=iterations,
@@ -71,11 +77,12 @@ def factors(model: ALSModel) -> DataFrame:
 def coverage(pairs: DataFrame, ratings: DataFrame, user: str = "user", item: str = "item") -> DataFrame:
     """The pairs whose user and item both occur in the ratings, repeated pairs included.
 
-    These are the pairs ``predict`` keeps. Semi joins on distinct ids: the lookup side
-    has each id once, and a hot id on the other side is split by the adaptive join.
+    These are the pairs ``predict`` keeps. Semi joins on distinct ids, which are written
+    to the shared folder first: the adaptive join splits a hot id of the pairs only if
+    nothing stands between the shuffles and the join.
     """
-    users = ratings.select(user).distinct()
-    items = ratings.select(item).distinct()
+    users = stage(ratings.select(user).distinct(), "known-users")
+    items = stage(ratings.select(item).distinct(), "known-items")
     return pairs.join(users, user, "left_semi").join(items, item, "left_semi")
 
 

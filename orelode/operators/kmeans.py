@@ -18,7 +18,7 @@ import random
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,16 +59,11 @@ class KMeansParams:
     seed: int = field(default_factory=lambda: random.getrandbits(63))
 
     def __post_init__(self) -> None:
-        if self.k <= 0:
-            raise ValueError(f"number of clusters must be positive but got {self.k}")
-        if self.max_iter < 0:
-            raise ValueError(f"maximum of iterations must not be negative but got {self.max_iter}")
+        for parameter, least in (("k", 1), ("max_iter", 0), ("init_steps", 1), ("epsilon", 0)):
+            if not getattr(self, parameter) >= least:
+                raise ValueError(f"{parameter}={getattr(self, parameter)!r}: allowed from {least} upwards")
         if self.init_mode not in (RANDOM, PARALLEL):
-            raise ValueError(f"start mode must be {RANDOM!r} or {PARALLEL!r} but got {self.init_mode!r}")
-        if self.init_steps <= 0:
-            raise ValueError(f"number of start steps must be positive but got {self.init_steps}")
-        if self.epsilon < 0:
-            raise ValueError(f"distance threshold must not be negative but got {self.epsilon}")
+            raise ValueError(f"init_mode={self.init_mode!r}: allowed are {RANDOM!r} and {PARALLEL!r}")
 
 
 @dataclass(frozen=True)
@@ -180,8 +175,9 @@ def step(df: DataFrame, features: Features, centers: Centers) -> DataFrame:
         center.alias("center"),
         ((center - F.col("old_center")) * (center - F.col("old_center"))).alias("part"),
     )
-    whole = moved.groupBy("cluster").agg(F.sum("part").alias("moved_sq"))
-    return moved.drop("part").join(F.broadcast(whole), "cluster")
+    # Over the clusters x attributes rows of the result, so the data are read once.
+    moved_sq = F.sum("part").over(Window.partitionBy("cluster"))
+    return moved.withColumn("moved_sq", moved_sq).drop("part")
 
 
 def lloyd(
@@ -253,7 +249,8 @@ def _nearest(
 ) -> tuple[DataFrame, list[str]]:
     """Assignment plus the names of the checked inputs it added: columns or one array."""
     if not is_narrow(features, len(centers), terms):
-        found = df.withColumn("__x", feature_array(features)).withColumn("__near", nearest_udf(centers)("__x"))
+        wide = feature_array(features, len(centers[0]))
+        found = df.withColumn("__x", wide).withColumn("__near", nearest_udf(centers)("__x"))
         found = found.withColumn(distance, F.col("__near.d")).withColumn(cluster, F.col("__near.j"))
         return found.drop("__near"), ["__x"]
     found, xs = with_required(df, features)

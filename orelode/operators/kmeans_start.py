@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +15,10 @@ from orelode.operators.sampling import Key, sample_by_probability, take_sample
 # Fixed value: rounds of the weighted clustering that reduces the candidates.
 REDUCE_ROUNDS = 30
 
+# A key with fewer values than this share of the different rows is refused. Both counts are
+# estimates with a deviation of 5 %; a few repeated keys do no harm.
+MOSTLY_UNIQUE = 0.75
+
 
 def start_centers(df: DataFrame, features: Features, params: KMeansParams, key: Key = None) -> Centers:
     if params.init_mode == PARALLEL:
@@ -60,7 +63,13 @@ def parallel_round(
 
     About ``2 k`` rows come out on average, whatever the size of the input.
     """
-    total = costed.agg(F.sum(cost)).first()[0] or 0.0
+    wanted = [F.coalesce(F.sum(cost), F.lit(0.0))]
+    if key:
+        # Copies of a row may share a key, but not rows that differ.
+        wanted += [F.approx_count_distinct(F.struct(*key)), F.approx_count_distinct(F.struct(*key, cost))]
+    total, *distinct = costed.agg(*wanted).first()
+    if key and distinct[0] < MOSTLY_UNIQUE * distinct[1]:
+        raise ValueError(f"the key has about {distinct[0]} values for {distinct[1]} different rows")
     if total <= 0.0:
         return costed.limit(0)
     probability = F.lit(2.0) * F.col(cost) * F.lit(float(k)) / F.lit(total)
@@ -97,19 +106,29 @@ def candidate_weights(df: DataFrame, features: Features, candidates: Centers) ->
     return joined.select("candidate", F.coalesce("n", F.lit(0).cast("bigint")).alias("n"))
 
 
-def reduce_candidates(spark: SparkSession, candidates: Centers, weights: Sequence[int], k: int) -> Centers:
-    """Cluster the weighted candidates themselves down to ``k`` centres."""
+def reduce_candidates(candidates: Centers, weights: Sequence[int], k: int) -> Centers:
+    """Cluster the weighted candidates themselves down to ``k`` centres.
+
+    The heaviest candidate is the first centre, the next is the one with the largest
+    weight times squared distance to the centres so far (ties: the first candidate);
+    then weighted passes until nothing moves, REDUCE_ROUNDS at most. There are about
+    ``2 k`` candidates per round, so this takes no Spark job.
+    """
     if len(candidates) <= k:
         return candidates
-    rows = [(list(c), float(w)) for c, w in zip(candidates, weights, strict=True) if w > 0]
-    if k == 1:
-        # The estimator wants two clusters; the best single centre is the weighted mean.
-        total = sum(w for _, w in rows)
-        return [[sum(c[i] * w for c, w in rows) / total for i in range(len(candidates[0]))]]
-    points = spark.createDataFrame(rows, "x array<double>, weight double").coalesce(1)
-    points = points.select(array_to_vector("x").alias("x"), "weight")
-    estimator = KMeans(featuresCol="x", weightCol="weight", k=k, maxIter=REDUCE_ROUNDS, seed=0)
-    return [[float(v) for v in c] for c in estimator.fit(points).clusterCenters()]
+    x, w = np.array(candidates, dtype="float64"), np.array(weights, dtype="float64")
+    x, w = x[w > 0], w[w > 0]
+    centers = x[[int(w.argmax())]]
+    while len(centers) < min(k, len(x)):
+        gain = w * _squares(x, centers).min(1)
+        centers = np.vstack([centers, x[int(gain.argmax())]])
+    for _ in range(REDUCE_ROUNDS):
+        owner = _squares(x, centers).argmin(1)
+        means = [np.average(x[owner == j], 0, w[owner == j]) if (owner == j).any() else c for j, c in enumerate(centers)]
+        if np.array_equal(means, centers):
+            break
+        centers = np.array(means)
+    return centers.tolist()
 
 
 def parallel_start(
@@ -121,7 +140,7 @@ def parallel_start(
         return candidates
     # One number per candidate.
     weights = {r.candidate: r.n for r in candidate_weights(df, features, candidates).collect()}
-    return reduce_candidates(df.sparkSession, candidates, [weights[j] for j in range(len(candidates))], k)
+    return reduce_candidates(candidates, [weights[j] for j in range(len(candidates))], k)
 
 
 def candidates_frame(spark: SparkSession, features: Features, candidates: Centers) -> DataFrame:
@@ -136,6 +155,10 @@ def _points(rows: DataFrame, features: Features) -> Centers:
     return [[float(v) for v in r.x] for r in rows.select(feature_array(features).alias("x")).collect()]
 
 
+def _squares(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    return ((x[:, None] - centers[None]) ** 2).sum(2)
+
+
 def _distinct(points: Centers) -> Centers:
     return [list(p) for p in dict.fromkeys(tuple(p) for p in points)]
 

@@ -36,6 +36,9 @@ from orelode.functions.vectors import (
 
 Label = str | float | int
 
+#: Classes of a model, all of which the driver holds.
+MAX_CLASSES = 100_000
+
 
 @dataclass(frozen=True)
 class NaiveBayesModel:
@@ -88,13 +91,14 @@ class NaiveBayesModel:
 
 
 def class_sums(df: DataFrame, label: str, features: Sequence[str]) -> DataFrame:
-    """(label, n, sum of every attribute under its own name)."""
-    sums = [F.sum(F.col(f).cast("double")).alias(f) for f in features]
-    return df.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n"), *sums)
+    """(label, n, sum of every attribute under its own name); bad attributes raise, as in ``train``."""
+    checked, xs = with_required(df.select(F.col(label).alias("__label"), *features), features)
+    sums = [F.sum(x).alias(f) for x, f in zip(xs, features)]
+    return checked.groupBy(F.col("__label").alias("label")).agg(F.count(F.lit(1)).alias("n"), *sums)
 
 
 def train(df: DataFrame, label: str, features: Sequence[str], smoothing: float = 1.0) -> NaiveBayesModel:
-    """Fit in one pass. Negative or NULL attributes and NULL labels raise."""
+    """Fit in one pass. Negative, NULL, NaN or infinite attributes and NULL labels raise."""
     features = list(features)
     checked, xs = with_required(df.select(F.col(label).alias("__label"), *features), features)
     totals = checked.groupBy("__label").agg(
@@ -103,7 +107,9 @@ def train(df: DataFrame, label: str, features: Sequence[str], smoothing: float =
         F.array(*[F.min(x) for x in xs]).alias("smallest"),
     )
     # One row per class.
-    rows = totals.collect()
+    rows = totals.limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} values")
     if not rows:
         raise ValueError("no rows to train on")
     if any(r["__label"] is None for r in rows):

@@ -6,17 +6,19 @@ matrix reaches the driver. Projection is un-centred, ``X . loadings``.
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations_with_replacement
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orelode.functions.vectors import Features, dot_sql, double_literal, feature_array, name, with_required
+from orelode.functions.vectors import Features, dot_sql, feature_array, is_narrow, linear_udf, with_required
+from orelode.operators.summary import column_summary
 
 # A pair of attributes per aggregate: up to here one generated aggregation.
 _WIDE_COVARIANCE = 8
@@ -47,21 +49,22 @@ class PcaModel:
 
     def project(self, df: DataFrame, prefix: str = "pc") -> DataFrame:
         """Add one column per component. Narrow."""
-        if isinstance(self.features, str):
-            column = name(self.features)
-            outputs = []
-            for c, row in enumerate(self.loadings):
-                weights = f"array({', '.join(map(double_literal, row))})"
-                products = f"zip_with(cast({column} AS array<double>), {weights}, (a, b) -> a * b)"
-                outputs.append(f"aggregate({products}, 0D, (s, v) -> s + v) AS {prefix}{c}")
-            return df.selectExpr("*", *outputs)
-        checked, xs = with_required(df, self.features)
-        outputs = [f"{dot_sql(xs, row)} AS {prefix}{c}" for c, row in enumerate(self.loadings)]
-        return checked.selectExpr("*", *outputs).drop(*xs)
+        if is_narrow(self.features, len(self.loadings)):
+            checked, xs = with_required(df, self.features)
+            outputs = [f"{dot_sql(xs, row)} AS {prefix}{c}" for c, row in enumerate(self.loadings)]
+            return checked.selectExpr("*", *outputs).drop(*xs)
+        x = feature_array(self.features, len(self.attributes))
+        found = df.withColumn("__x", x).withColumn("__y", linear_udf(self.loadings)("__x"))
+        outputs = [F.get("__y", F.lit(c)).alias(f"{prefix}{c}") for c in range(len(self.loadings))]
+        return found.select("*", *outputs).drop("__x", "__y")
 
 
 def covariance(df: DataFrame, features: Features) -> DataFrame:
-    """(attribute_a, attribute_b, cov) for every pair with a <= b in column order."""
+    """(attribute_a, attribute_b, cov) for every pair with a <= b in column order.
+
+    With one row every cov is NULL; so it is without rows, where an array column has no
+    attributes at all.
+    """
     if not isinstance(features, str) and len(features) <= _WIDE_COVARIANCE:
         checked, xs = with_required(df.select(*features), features)
         pairs = list(combinations_with_replacement(range(len(features)), 2))
@@ -81,26 +84,37 @@ def covariance(df: DataFrame, features: Features) -> DataFrame:
 
 
 def _wide_covariance(df: DataFrame, features: Features) -> DataFrame:
-    """Correlation times the two deviations; both come from tree aggregations."""
-    vectors = _vectors(df, features)
-    metrics = Summarizer.metrics("count", "variance").summary(F.col("x"))
-    stats = vectors.select(metrics.alias("s")).select("s.count", "s.variance").first()
-    if stats["count"] < 2:
-        raise ValueError("covariance needs at least two rows")
-    variance = [float(v) for v in stats["variance"]]
-    std = [math.sqrt(v) for v in variance]
-    correlation = Correlation.corr(vectors, "x").first()[0].toArray()
-    names = _attributes(features, len(std))
-    rows = []
-    for i, j in combinations_with_replacement(range(len(std)), 2):
-        if i == j:
-            cov = variance[i]
-        elif std[i] == 0.0 or std[j] == 0.0:
-            cov = 0.0  # a constant attribute has no correlation
-        else:
-            cov = float(correlation[i, j]) * std[i] * std[j]
-        rows.append((names[i], names[j], cov))
-    return df.sparkSession.createDataFrame(rows, "attribute_a string, attribute_b string, cov double")
+    """Sums of products of deviations from the means, as in the narrow form; two passes."""
+    spark = df.sparkSession
+    means = column_summary(df, features, ("n", "mean")).collect()
+    n = max((r.n for r in means), default=0)
+    if isinstance(features, str):
+        means.sort(key=lambda r: int(r.attribute))
+    names = [r.attribute for r in means] if isinstance(features, str) else list(features)
+    schema = "attribute_a string, attribute_b string, cov double"
+    pairs = list(combinations_with_replacement(range(len(names)), 2))
+    if n < 2:
+        return spark.createDataFrame([(names[i], names[j], None) for i, j in pairs], schema)
+    by_name = {r.attribute: r["mean"] for r in means}
+    center = np.array([by_name[a] for a in names])
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(center), len(center)))
+        for batch in batches:
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, len(center)) - center
+            total += x.T @ x
+        i, j = np.triu_indices(len(center))
+        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), pa.array(total[i, j])], names=["i", "j", "s"])
+
+    rows = df.select(feature_array(features, len(center)).alias("x"))
+    # A row per pair of attributes and task.
+    sums = rows.mapInArrow(products, "i long, j long, s double").groupBy("i", "j").agg(F.sum("s").alias("s"))
+    label = F.array(*[F.lit(a) for a in names])
+    return sums.select(
+        F.get(label, F.col("i")).alias("attribute_a"),
+        F.get(label, F.col("j")).alias("attribute_b"),
+        (F.col("s") / F.lit(float(n - 1))).alias("cov"),
+    )
 
 
 def fit(df: DataFrame, features: Features, k: int) -> PcaModel:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orelode.functions.vectors import Features, feature_array, with_required
@@ -19,7 +19,8 @@ def column_summary(df: DataFrame, features: Features, metrics: Sequence[str] = M
     """(attribute, n, mean, min, max, variance), one row per attribute, in one pass.
 
     Attributes of an array column are named by position. The variance of a single
-    row is 0. ``metrics`` chooses the columns of the report.
+    row is 0. ``metrics`` chooses the columns of the report. Without rows every named
+    attribute is there with n = 0; an array column then has no attributes.
     """
     unknown = set(metrics) - set(METRICS)
     if unknown:
@@ -28,10 +29,16 @@ def column_summary(df: DataFrame, features: Features, metrics: Sequence[str] = M
         values = df.select(F.posexplode(feature_array(features)).alias("pos", "x"))
         table = values.groupBy("pos").agg(*_statistics("x"))
         if isinstance(features, str):
-            label = F.col("pos").cast("string")
-        else:
-            label = F.element_at(F.array(*[F.lit(f) for f in features]), F.col("pos") + 1)
-        return table.select(label.alias("attribute"), *metrics)
+            # One row per attribute: rows of unequal width show as unequal counts.
+            uneven = F.raise_error(F.lit(f"rows of {features} differ in width")).cast("bigint")
+            most = F.max("n").over(Window.partitionBy())
+            table = table.withColumn("n", F.when(F.col("n") == most, F.col("n")).otherwise(uneven))
+            return table.select(F.col("pos").cast("string").alias("attribute"), *metrics)
+        spark = df.sparkSession
+        grid = spark.createDataFrame(list(enumerate(features)), "pos int, attribute string")
+        # One row per attribute on either side.
+        filled = grid.join(F.broadcast(table), "pos", "left").withColumn("n", F.coalesce("n", F.lit(0).cast("bigint")))
+        return filled.select("attribute", *metrics)
     checked, xs = with_required(df.select(*features), features)
     one_row = checked.agg(*[F.struct(*_statistics(x)).alias(x) for x in xs])
     rows = F.array(*[F.struct(F.lit(f).alias("attribute"), F.col(f"{x}.*")) for f, x in zip(features, xs)])

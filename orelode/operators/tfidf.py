@@ -9,22 +9,25 @@ looked up by term. Natural text puts most (document, term) pairs on few terms, s
 * a table below the session's broadcast limit (measured, not guessed) is broadcast;
 * otherwise the terms above 1 in ``HOT_SHARE`` of all pairs, at most ``HOT_SHARE``
   by counting, are broadcast, and only the pairs of the rare terms are shuffled. No
-  rare term holds more than 1 in ``HOT_SHARE`` of the pairs.
+  rare term holds more than 1 in ``HOT_SHARE`` of the pairs. A hot term of over
+  ``LONG_TERM_BYTES`` is broadcast by its SHA-256, so the table has at most 10 MB.
+
+The idf table is written to the shared folder, not cached.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orelode.functions.text import DEFAULT_BUCKETS, check_buckets, split_tokens, term_bucket
+from orelode.sources.staging import discard, stage
 
 HOT_SHARE = 10_000
-# Longer terms are never broadcast, which bounds the hot table to 10 MB.
-HOT_TERM_BYTES = 1_024
+# Longer terms are looked up by their digest, which bounds the hot table to 10 MB.
+LONG_TERM_BYTES = 1_024
 # A row's fixed part (numbers, offsets) when the size of a table is estimated.
 _ROW_BYTES = 48
 
@@ -78,7 +81,8 @@ def inverse_document_frequency(
 class IdfModel:
     """A fitted table (term, df, idf) with its measured size.
 
-    The table is persisted, as every use reads it; ``release`` frees it.
+    The table is staged in the shared folder, as every use reads it; ``release``
+    deletes it, after which nothing that was derived from the model may run.
     """
 
     table: DataFrame
@@ -94,26 +98,28 @@ class IdfModel:
         weights = self.table.select(self.key, "idf")
         if self.table_bytes <= broadcast_limit(tf):
             return tf.join(F.broadcast(weights), self.key).select(*columns)
-        hot = self._is_hot()
-        hot_weights = self.table.filter(hot).select(self.key, "idf")
+        hot = F.col("df") > F.lit(self.n_pairs // HOT_SHARE)
+        hot_weights = self.table.filter(hot).select(*self._lookup(), "idf")
         rare_weights = self.table.filter(~hot).select(self.key, "idf")
-        hot_pairs = tf.join(F.broadcast(hot_weights), self.key).select(*columns)
-        rare_tf = tf.join(F.broadcast(hot_weights.select(self.key)), self.key, "left_anti")
+        tagged = tf.select("*", *self._lookup()).join(F.broadcast(hot_weights), ["__long", "__key"], "left")
+        hot_pairs = tagged.filter(F.col("idf").isNotNull()).select(*columns)
+        rare_tf = tagged.filter(F.col("idf").isNull()).select(*tf.columns)
         rare_pairs = rare_tf.join(rare_weights.hint("merge"), self.key).select(*columns)
         return hot_pairs.unionByName(rare_pairs)
 
     def release(self) -> None:
-        self.table.unpersist()
+        discard(self.table)
 
-    def _is_hot(self) -> Column:
-        often = F.col("df") > F.lit(self.n_pairs // HOT_SHARE)
-        return often & (F.octet_length(F.col(self.key).cast("string")) <= HOT_TERM_BYTES)
+    def _lookup(self) -> list[Column]:
+        """The term, or its digest if it is long."""
+        text = F.col(self.key).cast("string")
+        long = F.octet_length(text) > LONG_TERM_BYTES
+        return [long.alias("__long"), F.when(long, F.sha2(text.cast("binary"), 256)).otherwise(text).alias("__key")]
 
 
 def fit_idf(tf: DataFrame, n_docs: int, min_doc_freq: int = 0, key: str = "term") -> IdfModel:
-    """Compute and persist the idf table of a corpus of ``n_docs`` documents."""
-    table = inverse_document_frequency(document_frequency(tf, key), n_docs, min_doc_freq, key)
-    table = table.persist(StorageLevel.MEMORY_AND_DISK)
+    """Compute and stage the idf table of a corpus of ``n_docs`` documents."""
+    table = stage(inverse_document_frequency(document_frequency(tf, key), n_docs, min_doc_freq, key), "idf")
     key_bytes = F.octet_length(F.col(key).cast("string")) + F.lit(_ROW_BYTES)
     size = table.agg(
         F.count(F.lit(1)).alias("n_keys"),
@@ -131,11 +137,17 @@ def tfidf(
     text: str = "text",
     strip_trailing: bool = False,
 ) -> DataFrame:
-    """Fit and weigh the same documents, by term or (with ``buckets``) by hash bucket."""
+    """Fit and weigh the same documents, by term or (with ``buckets``) by hash bucket.
+
+    Term frequencies and the idf table are staged, so documents are split once; both
+    tables stay in the shared folder, as the result reads them whenever it is run. Use
+    ``fit_idf`` and ``IdfModel.release`` to decide about that yourself.
+    """
     if buckets is None:
         key, tf = "term", term_frequency(docs, doc_id, text, strip_trailing)
     else:
         key, tf = "bucket", hashed_term_frequency(docs, buckets, doc_id, text, strip_trailing)
+    tf = stage(tf, "tf")
     return fit_idf(tf, docs.count(), min_doc_freq, key).transform(tf)
 
 

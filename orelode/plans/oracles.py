@@ -306,6 +306,57 @@ chosen as materialized (
   where u < cast(2 as double) * cost * cast({k} as double) / (select sum(cost) from costed))"""
 
 
+def _parallel_start(k: int = 4, rounds: int = 30) -> str:
+    """k-means|| with two draws: candidates ``c``, their weights, and the centres ``s<rounds>``."""
+    f4, star = ", ".join(F4), ", ".join(f"i.{c}" for c in [*KEY, *F4])
+    share = f"cast(2 as double) * cost * cast({k} as double) / (select sum(cost) from costed2)"
+    parts = [
+        f"""{_first_round(k)},
+costed2 as materialized (
+  select {star}, least(i.cost, min({distance('i', 'c')})) as cost
+  from costed i cross join (select distinct {f4} from chosen) c group by {star}, i.cost),
+chosen2 as materialized (
+  select * from {with_uniform('costed2', KEY, SEED, 1)} where u < {share}),
+named as (
+  select {f4}, min(round) as round
+  from (select *, 0 as round from first_one union all select {f4}, 1 from chosen union all select {f4}, 2 from chosen2)
+  group by {f4}),
+c as materialized (select cast(row_number() over (order by round, {f4}) - 1 as integer) as j, {f4} from named),
+{assign_cte('a', 'c')},
+heavy as materialized (
+  select c.j as nr, {', '.join('c.' + f for f in F4)}, count(*) as w from c join a on a.j = c.j
+  group by c.j, {', '.join('c.' + f for f in F4)}),
+p0 as materialized (select 0 as j, {f4} from heavy order by w desc, nr limit 1)"""
+    ]
+    for j in range(1, k):
+        parts.append(f"""p{j} as materialized (
+  select * from p{j - 1} union all
+  (select {j} as j, {f4} from (
+     select i.nr, {', '.join('i.' + f for f in F4)}, i.w * min({distance('i', 'c')}) as gain
+     from heavy i cross join p{j - 1} c group by i.nr, i.w, {', '.join('i.' + f for f in F4)})
+   order by gain desc, nr limit 1))""")
+    parts.append(f"s0 as materialized (select * from p{k - 1})")
+    means = ", ".join(f"sum({f} * w) / sum(w) as {f}" for f in F4)
+    columns = ", ".join(f"coalesce(m.{f}, o.{f}) as {f}" for f in F4)
+    for r in range(rounds):
+        parts.append(f"""o{r} as materialized (
+  select * from (
+    select i.*, c.j, row_number() over (partition by i.nr order by {distance('i', 'c')}, c.j) as place
+    from heavy i cross join s{r} c) where place = 1),
+s{r + 1} as materialized (
+  select o.j, {columns} from s{r} o left join (select j, {means} from o{r} group by j) m on m.j = o.j)""")
+    return ",\n".join(parts)
+
+
+def _trained(passes: int = 10, rounds: int = 30) -> str:
+    """Lloyd passes from that start: assignments t0 and on."""
+    parts = [_parallel_start(rounds=rounds), f"u0 as materialized (select * from s{rounds})"]
+    for p in range(passes):
+        parts.append(assign_cte(f"t{p}", f"u{p}"))
+        parts.append(next_centers_cte(f"u{p + 1}", f"t{p}", f"u{p}"))
+    return ",\n".join(parts)
+
+
 def _parse_events(columns: str) -> str:
     return f"select event_id, {columns} from events"
 
@@ -379,8 +430,9 @@ select round(sum(d), 2) as cost from a""",
     "kmeans_step": f"""with {ITEMS}, {centers_cte('c', STEP_CENTERS)}, {assign_cte('a', 'c')},
 {next_centers_cte('c1', 'a', 'c')},
 sizes as (select c.j, count(a.j) as n from c left join a on a.j = c.j group by c.j),
-both_ as (select c1.*, n from c1 join sizes using (j))
-{long_form('both_', 'cast(j as integer) as cluster, n, round({f}, 5) as center')}""",
+both_ as (select c1.*, n, round(({distance('c1', 'c')}) / 1e6, 5) as moved_sq_m
+  from c1 join sizes using (j) join c on c.j = c1.j)
+{long_form('both_', 'cast(j as integer) as cluster, n, round({f}, 5) as center, moved_sq_m')}""",
     "kmeans_lloyd": f"""with {passes_ctes(PASSES)}
 {long_form(f'c{PASSES}', 'cast(j as integer) as cluster, round({f}, 5) as center')}""",
     "kmeans_centers": f"""with {EMB}, {EMB_CENTERS}, {emb_assign('a', 'ec')}
@@ -421,6 +473,9 @@ c as materialized (
 {assign_cte('a', 'c')}
 select c.j as candidate, {', '.join('c.' + f for f in F4)}, count(a.j) as n
 from c left join a on a.j = c.j group by c.j, {', '.join('c.' + f for f in F4)}""",
+    "kmeans_reduce_candidates": f"""with {_parallel_start()}
+{long_form('s30', 'cast(j as integer) as cluster, round({f}, 5) as center')}""",
+    "kmeans_train": f"with {_trained()}\n{patterns('t9', ALL_METRICS)}",
     "kmeans_train_check": long_form("lineitem", f"count(*) as n, {_ZERO} as largest_difference"),
     "kmeans_model_roundtrip": "select count(*) as n, cast(0 as bigint) as differing from lineitem",
     "nb_class_sums": f"""with {SCALED_ITEMS}

@@ -231,7 +231,8 @@ def _scaled_centers() -> kmeans.Centers:
 @query
 def kmeans_step(spark, folder):
     after = kmeans.step(line_items(spark, folder), F4, STEP_CENTERS)
-    return after.select("cluster", "attribute", "n", rounded("center", 5))
+    moved = F.round(F.col("moved_sq") / 1e6, 5).alias("moved_sq_m")
+    return after.select("cluster", "attribute", "n", rounded("center", 5), moved)
 
 
 @query
@@ -316,13 +317,13 @@ def kmeans_candidate_weights(spark, folder):
 def kmeans_reduce_candidates(spark, folder):
     items = line_items(spark, folder)
     start = kmeans_start.parallel_start(items, F4, 4, 2, SEED, KEY)
-    return kmeans.KMeansModel(F4, start).centers_frame(spark)
+    return kmeans.KMeansModel(F4, start).centers_frame(spark).select("cluster", "attribute", rounded("center", 5))
 
 
 @query
 def kmeans_train(spark, folder):
     run = kmeans.train(line_items(spark, folder), F4, 4, 10, seed=SEED, key=KEY)
-    return run.patterns(spark)
+    return _rounded_patterns(run.patterns(spark))
 
 
 @query

@@ -33,13 +33,14 @@ def header_line(lines: DataFrame) -> str:
 
 
 def drop_header(lines: DataFrame, header: str | None = None) -> DataFrame:
-    """Remove the header (in every file of a folder) and lines that are empty.
+    """Remove the header, in every file of a folder.
 
-    Only lines equal to the header go, not those that share its first character.
+    Only lines equal to the header go, not those that share its first character. An
+    empty line stays and is for the parser to judge.
     """
     if header is None:
         header = header_line(lines)
-    return lines.filter((F.col("value") != header) & (F.col("value") != ""))
+    return lines.filter(F.col("value") != header)
 
 
 def parse_activity(lines: DataFrame, *keep: str) -> DataFrame:
@@ -95,12 +96,12 @@ def parse_matrix(lines: DataFrame, width: int | None = None, *keep: str) -> Data
         if first is None:
             raise ValueError("no rows: the input is empty")
         width = len(first.value.split(" "))
-    numbers = F.transform(F.split("value", " ", -1), lambda t: number(t))
-    rows = lines.select(*keep, "value", numbers.alias("x"))
-    checked = F.when(F.size("x") == width, F.col("x")).otherwise(
-        _raise(F.concat(F.lit(f"not {width} numbers: "), F.col("value"))).cast("array<double>")
-    )
-    return rows.select(*keep, checked.alias("x"))
+    fields = F.split("value", " ", -1)
+    rows = lines.select(*keep, "value", fields.alias("__fields"))
+    bad = _raise(F.concat(F.lit(f"not {width} numbers: "), F.col("value"))).cast("array<string>")
+    rows = rows.withColumn("__fields", F.when(F.size("__fields") == width, F.col("__fields")).otherwise(bad))
+    # Position by position the numbers are read in generated code.
+    return rows.select(*keep, F.array(*[number(_field(i)) for i in range(width)]).alias("x"))
 
 
 def matrix_columns(matrix: DataFrame, width: int, prefix: str = "c", keep: tuple[str, ...] = ()) -> DataFrame:

@@ -1,15 +1,10 @@
 """Where results and models go.
 
-Writers fail on an existing path. Intermediate tables live in the shared folder the
-cluster names in ``spark.checkpoint.dir``; a folder of this machine is used only in
-local mode, when that setting is absent.
+Writers fail on an existing path. Intermediate tables are in ``staging``.
 """
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +12,7 @@ from pyspark.sql import functions as F
 from orelode.operators.kmeans import KMeansModel
 from orelode.operators.naive_bayes import NaiveBayesModel
 from orelode.operators.pca import PcaModel
+from orelode.sources.staging import discard, stage, work_path  # noqa: F401 - part of this module's interface
 
 FORMATS = ("parquet", "csv", "json", "text")
 
@@ -38,23 +34,6 @@ def write_result(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     writer.write.mode("errorifexists").format(fmt).save(path)
 
 
-def work_path(spark: SparkSession, what: str) -> str:
-    """A new path for an intermediate table or model."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        folder = tempfile.mkdtemp(prefix="orelode-")
-    return f"{folder.rstrip('/')}/{what}-{uuid.uuid4().hex}"
-
-
-def stage(df: DataFrame, what: str) -> DataFrame:
-    """Write a DataFrame and read it back: a short lineage that survives lost executors."""
-    path = work_path(df.sparkSession, what)
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def save_kmeans(spark: SparkSession, model: KMeansModel, path: str) -> None:
     array_column = model.features if isinstance(model.features, str) else None
     rows = [

@@ -42,7 +42,7 @@ def test_pca_and_statistics_jobs(spark, write_lines, tmp_path):
     path = write_lines(*[f"{i} {2 * i} {i % 3}" for i in range(30)])
     report = jobs.run_pca(spark, path, str(tmp_path / "pca"), 2)
     written = spark.read.parquet(str(tmp_path / "pca"))
-    assert written.columns == ["pc0", "pc1"] and written.count() == 30 == report.sample.count()
+    assert written.columns == ["value", "pc0", "pc1"] and written.count() == 30 == report.sample.count()
     assert report.components.count() == 6
     stats = jobs.run_statistics(spark, path, str(tmp_path / "stats"), ("n", "mean"), "csv")
     assert {r.attribute: (r.n, r["mean"]) for r in stats.collect()} == {"0": (30, 14.5), "1": (30, 29.0), "2": (30, 1.0)}

@@ -4,7 +4,6 @@ import math
 from collections import Counter
 
 import pytest
-from pyspark.ml.linalg import SparseVector
 from pyspark.sql import functions as F
 
 from orelode.functions.text import term_bucket
@@ -109,17 +108,27 @@ def test_hot_terms_are_few(spark, prose, monkeypatch):
     monkeypatch.setattr(tfidf, "HOT_SHARE", 20)
     tf = tfidf.term_frequency(prose)
     model = tfidf.fit_idf(tf, prose.count())
-    hot = model.table.filter(model._is_hot())
-    assert 0 < hot.count() <= 20
-    assert "the" in {r.term for r in hot.collect()}
-    # A long term is never broadcast, however frequent.
-    assert hot.filter(F.length("term") > 1000).count() == 0
+    hot = {r.term for r in model.table.filter(F.col("df") > model.n_pairs // tfidf.HOT_SHARE).collect()}
+    assert 0 < len(hot) <= 20 and "the" in hot and any(len(t) > tfidf.LONG_TERM_BYTES for t in hot)
+    # However long, hot terms never reach the shuffled side of the merge join.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = model.transform(tf)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("strategy=broadcast") == 2 and "strategy=merge" in plan
     model.release()
 
 
+def test_nothing_stays_cached(spark, prose):
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    assert tfidf.tfidf(prose.select("doc_id", "text"), 2).count() > 0
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
 def test_agrees_with_the_vector_form(spark, prose):
     """Against the classes for RDDs, whose buckets and weights the hashed form follows."""
-    from pyspark.mllib.feature import IDF, HashingTF  # noqa: F401
+    from pyspark.mllib.feature import IDF
     from pyspark.mllib.linalg import Vectors
 
     buckets = 64
@@ -134,7 +143,6 @@ def test_agrees_with_the_vector_form(spark, prose):
     for r, v in zip(rows, expected):
         for i, w in zip(v.indices, v.values):
             assert math.isclose(found[r.doc_id][int(i)], w, abs_tol=1e-12)
-    assert SparseVector is not None
 
 
 def test_broadcast_limit(spark):
