@@ -8,9 +8,11 @@ Documents of similarity s share a table with probability (1 - (1 - s**WIDTH)**HA
 
 Documents of equal sets form a class and are handled once. In a table's bucket every
 class is compared with the first one, not with all others: first each class with the
-lowest leader it met, then with its other leaders where the components still differ. A
-bucket in which a class and its leader stay apart is taken up again without the leader,
-until all of its classes are compared or in one component. No bucket is cut.
+lowest leader it met, then with its other leaders where the components still differ.
+Where a class and a leader stay apart, all classes that met this leader in some table
+are taken together: those outside of the largest component among them are held against
+all of them by a bound that never rules out a link, and what passes is compared. So no
+link that a table shows is lost, and no bucket is cut.
 """
 
 from __future__ import annotations
@@ -29,8 +31,8 @@ from orelode.llm.components import components
 from orelode.sources.storage import stage
 
 WIDTH, HALVES = 3, 12
-#: Rounds in which a bucket is compared with one leader; after them what is left is compared in full.
-LEADER_ROUNDS = 4
+#: Parts that sets are counted in for the bound, and classes of one side of a block.
+SIGNATURE, BLOCK_MEMBERS = 256, 2048
 
 _SALT = np.random.default_rng(11).integers(1, 1 << 63, (2, 2 * HALVES * WIDTH), dtype=np.uint64)
 _CHUNK = 4096
@@ -53,6 +55,8 @@ def near_duplicates(
     rows = stage(_sketches(df, size, doc, text), "sketches")
     classes = rows.where("class is not null").groupBy("class")
     nodes = classes.agg(F.min("doc_id").alias("doc_id"), F.first("u").alias("u"), F.first("v").alias("v"))
+    # Each class makes HALVES squared keys, so they are dealt to many tasks before that.
+    nodes = nodes.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     nodes = stage(nodes.withColumn("node", F.monotonically_increasing_id()), "classes")
     found = _components(df, nodes, size, share, doc, text)
 
@@ -89,7 +93,7 @@ def _components(df: DataFrame, nodes: DataFrame, size: int, share: int, doc: str
     keys = nodes.select("node", "v", F.explode("u").alias("a")).select("node", "a", F.explode("v").alias("b"))
     keys = keys.select("node", F.xxhash64("a", "b").alias("key"))
     leaders = keys.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1")
-    members = stage(keys.join(stage(leaders, "leaders"), "key").where("node <> leader"), "members")
+    members = keys.join(stage(leaders.select("key", "leader"), "leaders"), "key").where("node <> leader")
     pairs = stage(members.select("node", "leader").distinct(), "pairs")
     texts = _texts(df, nodes, pairs, size, doc, text)
 
@@ -97,39 +101,102 @@ def _components(df: DataFrame, nodes: DataFrame, size: int, share: int, doc: str
     tested = stage(_compare(lowest, texts, size, share), "compared")
     links = tested.where("linked").selectExpr("node as a", "leader as b")
     found = components(links)
-    more = _apart(pairs.join(tested, ["node", "leader"], "left_anti"), found)
-    open_members = members.where("n > 2")
-    for turn in range(LEADER_ROUNDS + 1):
-        if not more.isEmpty():
-            result = stage(_compare(more, texts, size, share), "compared")
-            new = result.where("linked").selectExpr("node as a", "leader as b")
-            tested = tested.unionByName(result)
-            if not new.isEmpty():
-                links = links.unionByName(new)
-                found = components(links)
-        if turn == LEADER_ROUNDS:
-            break
-        failed = stage(_apart(tested.where("not linked").select("node", "leader"), found), "apart")
-        if failed.isEmpty():
-            break
-        unsettled = open_members.join(failed, ["node", "leader"]).groupBy("key").agg(F.min("node").alias("next"))
-        # The old leader has met all of the bucket; the next is one that it did not link.
-        left = open_members.join(unsettled, "key").where("node <> next").selectExpr("key", "node", "next as leader")
-        open_members = stage(left, "members")
-        if open_members.isEmpty():
-            break
-        pairs = open_members.select("node", "leader").distinct()
-        if turn == LEADER_ROUNDS - 1:
-            one, other = open_members.select("key", "node"), open_members.select("key", F.col("node").alias("leader"))
-            ends = open_members.select("key", "leader").distinct().selectExpr("key", "leader as node")
-            one, other = one.unionByName(ends), other.unionByName(ends.withColumnRenamed("node", "leader"))
-            one = _labelled(one, found, "node")
-            other = _labelled(other, found, "leader")
-            pairs = one.join(other, "key").where("node > leader and node_component <> leader_component")
-            pairs = pairs.select("node", "leader").distinct()
-        met = tested.select("node", "leader").union(tested.select("leader", "node"))
-        more = stage(_apart(pairs.join(met, ["node", "leader"], "left_anti"), found), "pairs")
-    return found
+    others = _apart(pairs.join(tested, ["node", "leader"], "left_anti"), found)
+    tested = tested.unionByName(stage(_compare(others, texts, size, share), "compared"))
+    links = tested.where("linked").selectExpr("node as a", "leader as b")
+    found = components(links)
+
+    # All classes of a bucket are among those that share its leader, so these groups hold every pair of a table.
+    failed = _apart(tested.where("not linked").select("node", "leader"), found)
+    unsettled = stage(failed.select("leader").distinct(), "unsettled")
+    if unsettled.isEmpty():
+        return found
+    followers = pairs.join(unsettled, "leader").selectExpr("leader as key", "node")
+    inside = followers.union(unsettled.selectExpr("leader as key", "leader as node"))
+    hopeful = stage(_hopeful(_labelled(inside, found, "node"), texts, size, share), "hopeful")
+    met = tested.select("node", "leader").union(tested.select("leader", "node"))
+    more = _apart(hopeful.join(met, ["node", "leader"], "left_anti"), found)
+    new = stage(_compare(more, texts, size, share).where("linked"), "compared").selectExpr("node as a", "leader as b")
+    return found if new.isEmpty() else components(links.unionByName(new))
+
+
+def _hopeful(members: DataFrame, texts: DataFrame, size: int, share: int) -> DataFrame:
+    """node, leader (the smaller) of the pairs in one group and two components that may be linked.
+
+    ``members`` has key, node and node_component of groups. Sets are counted in
+    SIGNATURE parts by hash; the sum of the smaller counts is at least what two sets have
+    in common, so a pair that fails by this bound is none. Classes outside of a group's
+    largest component are held against all of the group, in blocks of BLOCK_MEMBERS of
+    each side, and only pairs that pass leave the task.
+    """
+    counted = members.groupBy("key", "node_component").agg(F.count("*").alias("n")).groupBy("key")
+    sizes = counted.agg(F.max_by("node_component", "n").alias("major"), F.max("n").alias("most"), F.sum("n").alias("n"))
+    sizes = sizes.where("most < n").selectExpr(
+        "key", "major", f"int(ceil(n / {BLOCK_MEMBERS})) as all_blocks", f"int(ceil((n - most) / {BLOCK_MEMBERS})) as minor_blocks"
+    )
+    rows = members.join(sizes, "key").withColumnRenamed("node_component", "component")
+    place = F.xxhash64("node", F.lit(1))
+    every = rows.select(
+        "key", "node", "component", F.lit(False).alias("asks"), F.pmod(place, "all_blocks").cast("int").alias("i"),
+        F.explode(F.sequence(F.lit(0), F.col("minor_blocks") - 1)).alias("j"),
+    )
+    minor = rows.where("component <> major").select(
+        "key", "node", "component", F.lit(True).alias("asks"),
+        F.explode(F.sequence(F.lit(0), F.col("all_blocks") - 1)).alias("i"), F.pmod(place, "minor_blocks").cast("int").alias("j"),
+    )
+    dealt = every.unionByName(minor).join(_signatures(texts, size), "node")
+    group = ["key", "i", "j"]
+    dealt = dealt.select(*group, "node", "component", "asks", "size", "parts")
+
+    def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, []
+        for batch in batches:
+            keys = np.stack([c.to_numpy() for c in batch.columns[:3]])
+            starts = np.flatnonzero(np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(0)]))
+            for start, stop in zip(starts, np.append(starts[1:], batch.num_rows), strict=True):
+                own = tuple(keys[:, start])
+                if own != last and held:
+                    yield _pairs_within_bound(held, share)
+                    held = []
+                last = own
+                held.append(batch.slice(start, stop - start))
+        if held:
+            yield _pairs_within_bound(held, share)
+
+    sorted_ = dealt.repartition(*group).sortWithinPartitions(*group)
+    return sorted_.mapInArrow(hold, "node long, leader long").distinct()
+
+
+def _pairs_within_bound(held: list[pa.RecordBatch], share: int) -> pa.RecordBatch:
+    table = pa.Table.from_batches(held)
+    node, component, asks, size = (table.column(c).to_numpy() for c in ("node", "component", "asks", "size"))
+    parts = np.concatenate([np.frombuffer(utf8(b.column("parts"))[0], "<u4") for b in held]).reshape(len(node), -1)
+    mine, others = [], []
+    for u in np.flatnonzero(asks):
+        apart = np.flatnonzero(~asks & (component != component[u]))
+        common = np.minimum(parts[apart], parts[u]).sum(1, dtype=np.int64)
+        passed = node[apart[100 * common >= share * (size[apart] + size[u] - common)]]
+        mine.append(np.maximum(passed, node[u]))
+        others.append(np.minimum(passed, node[u]))
+    empty = np.zeros(0, np.int64)
+    columns = [pa.array(np.concatenate([empty, *c])) for c in (mine, others)]
+    return pa.RecordBatch.from_arrays(columns, names=["node", "leader"])
+
+
+def _signatures(texts: DataFrame, size: int) -> DataFrame:
+    """node, size, parts: how many shingles each class has, in all and in each part."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shift = np.uint64(64 - (SIGNATURE - 1).bit_length())
+        for batch in batches:
+            sets = list(sets_of(batch.column(1), size))
+            parts = [np.bincount((s >> shift).astype(np.int64), minlength=SIGNATURE).astype("<u4").tobytes() for s in sets]
+            sizes = pa.array([len(s) for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), sizes, pa.array(parts, pa.binary())], names=["node", "size", "parts"]
+            )
+
+    return texts.mapInArrow(count, "node long, size long, parts binary")
 
 
 def _labelled(rows: DataFrame, found: DataFrame, column: str) -> DataFrame:

@@ -50,9 +50,9 @@ def corpus() -> list[tuple]:
     return list(zip(order, texts))
 
 
-@pytest.mark.parametrize(("size", "rounds"), [(2, 4), (5, 4), (2, 1)])
-def test_groups(documents, monkeypatch, size, rounds):
-    monkeypatch.setattr(tensor_minhash, "LEADER_ROUNDS", rounds)
+@pytest.mark.parametrize(("size", "block"), [(2, 2048), (5, 2048), (2, 5)])
+def test_groups(documents, monkeypatch, size, block):
+    monkeypatch.setattr(tensor_minhash, "BLOCK_MEMBERS", block)
     rows = corpus()
     out = tensor_minhash.near_duplicates(documents(rows), size).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in out} == groups(rows, size, 80)
