@@ -357,6 +357,47 @@ def _trained(passes: int = 10, rounds: int = 30) -> str:
     return ",\n".join(parts)
 
 
+def _components(k: int, rounds: int = 300) -> str:
+    """Principal components of SCALED by power iteration with deflation: pc0 .. with v0 .. v3."""
+    n = len(SCALED)
+    cells = {(i, j): f"m{min(i, j)}{max(i, j)}" for i in range(n) for j in range(n)}
+    parts = [
+        f"{SCALED_ITEMS},\nmoments as materialized (select "
+        + ", ".join(f"covar_samp({SCALED[i]}, {SCALED[j]}) as m{i}{j}" for i in range(n) for j in range(i, n))
+        + " from items)"
+    ]
+    dot = lambda a, b: " + ".join(f"{a}v{i} * {b}v{i}" for i in range(n))
+    for c in range(k):
+        before = "".join(f" cross join l{b}" for b in range(c))
+
+        def times(i: int, source: str, c: int = c) -> str:
+            own = " + ".join(f"{cells[i, j]} * {source}v{j}" for j in range(n))
+            less = "".join(f" - l{b}.lambda * l{b}.v{i} * ({dot(f'l{b}.', source)})" for b in range(c))
+            return f"{own}{less}"
+
+        start = ", ".join(f"cast({1 + i} as double) as v{i}" for i in range(n))
+        step = ", ".join(f"{times(i, 'r.')} as w{i}" for i in range(n))
+        length = "sqrt(" + " + ".join(f"w{i} * w{i}" for i in range(n)) + ")"
+        parts.append(f"""r{c}(step, {', '.join(f'v{i}' for i in range(n))}) as (
+  select 0, {start} union all
+  select step + 1, {', '.join(f'w{i} / {length}' for i in range(n))}
+  from (select step, {step} from r{c} r cross join moments{before} where step < {rounds})),
+l{c} as materialized (
+  select {', '.join(f'r.v{i}' for i in range(n))}, {' + '.join(f'r.v{i} * ({times(i, "r.")})' for i in range(n))} as lambda
+  from r{c} r cross join moments{before} where step = {rounds}),
+pc{c} as materialized (select {', '.join(f'v{i} * sign as v{i}' for i in range(n))} from (
+  select *, case when greatest({', '.join(f'v{i}' for i in range(n))}) >= -least({', '.join(f'v{i}' for i in range(n))})
+    then 1 else -1 end as sign from l{c}))""")
+    return ",\n".join(parts)
+
+
+def _projected() -> str:
+    sums = [" + ".join(f"{f} * pc{c}.v{i}" for i, f in enumerate(SCALED)) for c in range(2)]
+    return f"""with recursive {_components(2)}
+select {KEY_LIST}, {', '.join(f'round({s}, 4) as pc{c}' for c, s in enumerate(sums))}
+from items cross join pc0 cross join pc1"""
+
+
 def _parse_events(columns: str) -> str:
     return f"select event_id, {columns} from events"
 
@@ -399,6 +440,21 @@ ORACLES: dict[str, str] = {
     "drop_header": f"""select value from (
   select '{HEADER}' as value union all
   select event_type || ',' || cast(event_id as varchar) from events) where value <> '{HEADER}'""",
+    "activity_file": "\nunion all\n".join(
+        f"select '{name}' as attribute, count(*) as n, round(avg({x}), 6) as mean, min({x}) as min, max({x}) as max from events"
+        for name, x in (
+            ("smsin", f"(case when event_type = 'click' then {_ZERO} else value end)"),
+            ("smsout", f"(case when event_type = 'view' then value else {_ZERO} end)"),
+            ("callin", "value"),
+            ("callout", "cast(user_id as double)"),
+        )
+    ),
+    "matrix_statistics_file": "\nunion all\n".join(
+        f"select '{i}' as attribute, {SUMMARY.replace('{f}', f)} from lineitem" for i, f in enumerate(F4)
+    ),
+    "col_summary_wide": "\nunion all\n".join(
+        f"select 'c{c}' as attribute, {SUMMARY.replace('{f}', f'({F4[c % 4]} + {c})')} from lineitem" for c in range(18)
+    ),
     "col_summary": summary(SUMMARY),
     "col_summary_selected": summary("count({f}) as n, round(avg({f}), 6) as mean, max({f}) as max"),
     "col_summary_array": f"""with {EMB}
@@ -500,6 +556,14 @@ select count(*) as n, cast(0 as bigint) as differing from {DRAWN} where not ({TR
 select cast(a.pos as varchar) as attribute_a, cast(b.pos as varchar) as attribute_b,
   round(covar_samp(a.x, b.x), 9) as cov
 from emb a join emb b on a.vec_id = b.vec_id and a.pos <= b.pos group by a.pos, b.pos""",
+    "pca_components": f"with recursive {_components(3)}\n" + " union all ".join(
+        f"select {c} as component, '{f}' as attribute, round(v{i}, 6) as loading from pc{c}"
+        for c in range(3) for i, f in enumerate(SCALED)
+    ),
+    "pca_project": _projected(),
+    "pca_sample100": f"{_projected()} order by {KEY_LIST} limit 100",
+    "pca_eigen_residual": "select cast(range as integer) as component, cast(0 as double) as residual, "
+    "cast(1 as double) as length from range(5)",
     "pca_total_variance": f"""with {SCALED_ITEMS}
 select round({' + '.join(f'var_samp({f})' for f in SCALED)}, 6) as variance from items""",
     "pca_rotation_norm": f"""with {SCALED_ITEMS}
@@ -526,6 +590,9 @@ order by doc_id, term limit 100""",
 select doc_id, bucket, tf, round(tf * idf, 9) as weight from tf join idf using (bucket)""",
     "als_ratings": f'with {RATINGS} select "user", item, rating from ratings',
     "als_predict_coverage": _KNOWN_PAIRS,
+    "als_normal_equations": f'with {RATINGS} select distinct "user", true as solved from ratings',
+    "als_predict_dot": f'with {RATINGS} select "user", item, true as same from ratings',
+    "als_top100_pairs": f'with {RATINGS} select "user", item from ratings order by 1, 2 limit 100',
     "als_known_pairs": _KNOWN_PAIRS,
     "als_model_roundtrip": f"with {RATINGS} select count(*) as n, cast(0 as bigint) as differing from ratings",
 }

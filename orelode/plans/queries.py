@@ -34,6 +34,7 @@ from orelode.plans.inputs import (
     scaled_items,
     table,
 )
+from orelode.plans import jobs
 from orelode.sources import lines, storage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,6 +115,13 @@ def col_summary(spark, folder):
     return _rounded_summary(summary.column_summary(line_items(spark, folder), F4))
 
 
+@query
+def col_summary_wide(spark, folder):
+    """More columns than one generated aggregate takes: the numbers shifted by 0 to 17."""
+    shifted = [(F.col(F4[c % 4]) + F.lit(float(c))).alias(f"c{c}") for c in range(18)]
+    return _rounded_summary(summary.column_summary(line_items(spark, folder).select(*shifted), [f"c{c}" for c in range(18)]))
+
+
 @query
 def col_summary_selected(spark, folder):
     report = summary.column_summary(line_items(spark, folder), F4, ("n", "mean", "max"))
@@ -429,7 +437,8 @@ def pca_covariance_array(spark, folder):
 
 @query
 def pca_components(spark, folder):
-    return pca.fit(scaled_items(spark, folder), SCALED, 3).components_frame(spark)
+    found = pca.fit(scaled_items(spark, folder), SCALED, 3).components_frame(spark)
+    return found.select("component", "attribute", rounded("loading", 6))
 
 
 @query
@@ -440,7 +449,8 @@ def pca_components_array(spark, folder):
 @query
 def pca_project(spark, folder):
     items = scaled_items(spark, folder)
-    return pca.fit(items, SCALED, 2).project(items).drop("label", *SCALED)
+    projected = pca.fit(items, SCALED, 2).project(items)
+    return projected.select(*KEY, rounded("pc0", 4), rounded("pc1", 4))
 
 
 @query
@@ -454,6 +464,24 @@ def pca_sample100(spark, folder):
     return pca_project(spark, folder).orderBy(*KEY).limit(100)
 
 
+@query
+def pca_eigen_residual(spark, folder):
+    """How far covariance . loadings is from share * total variance * loadings, per component: nowhere."""
+    vectors = embeddings(spark, folder)
+    model = pca.fit(vectors, EMBEDDING, 5)
+    upper = pca.covariance(vectors, EMBEDDING)
+    lower = upper.where("attribute_a <> attribute_b").selectExpr("attribute_b", "attribute_a", "cov")
+    both = upper.union(lower)
+    total = upper.where("attribute_a = attribute_b").agg(F.sum("cov").alias("total"))
+    v = model.components_frame(spark)
+    product = both.join(v.withColumnRenamed("attribute", "attribute_b"), "attribute_b")
+    product = product.groupBy("component", F.col("attribute_a").alias("attribute")).agg(F.sum(F.expr("cov * loading")).alias("cv"))
+    scaled = v.join(model.explained_frame(spark), "component").join(product, ["component", "attribute"]).crossJoin(total)
+    residual = F.max(F.abs(F.col("cv") - F.col("explained") * F.col("total") * F.col("loading")))
+    length = F.sum(F.col("loading") * F.col("loading"))
+    return scaled.groupBy("component").agg(F.round(residual, 6).alias("residual"), F.round(length, 6).alias("length"))
+
+
 @query
 def pca_total_variance(spark, folder):
     """All components together carry the variance of all attributes."""
@@ -542,6 +570,37 @@ def tfidf_hashed(spark, folder):
     return _rounded_weights(tfidf.tfidf(documents(spark, folder), MIN_DOC_FREQ, buckets=BUCKETS))
 
 
+# From file to file ---------------------------------------------------------------------
+
+
+def _file(lines_: DataFrame, header: str | None, what: str) -> str:
+    """Write lines as a text file of one part, after a header if there is one."""
+    spark = lines_.sparkSession
+    path = storage.work_path(spark, what)
+    values = lines_.select("value")
+    if header is not None:
+        values = spark.createDataFrame([(header,)], "value string").unionByName(values).coalesce(1)
+    storage.write_result(values, path, "text")
+    return path
+
+
+@query
+def activity_file(spark, folder):
+    """Column statistics of phone activity that was read from a file with a header."""
+    path = _file(activity_lines(spark, folder), ",".join(lines.ACTIVITY_COLUMNS), "activity")
+    report = summary.column_summary(lines.read_activity(spark, path), list(lines.ACTIVITY_FEATURES))
+    return report.select("attribute", "n", rounded("mean", 6), "min", "max")
+
+
+@query
+def matrix_statistics_file(spark, folder):
+    """The statistics job from a matrix file to its written report."""
+    path, out = _file(matrix_lines(spark, folder), None, "matrix"), storage.work_path(spark, "statistics")
+    jobs.run_statistics(spark, path, out)
+    written = spark.read.parquet(out)
+    return _rounded_summary(written)
+
+
 # Recommendation ------------------------------------------------------------------------
 
 
@@ -561,12 +620,58 @@ def als_predict(spark, folder):
     return als.predict(als.train(rated, ALS_RANK, ALS_ITERATIONS, SEED), rated)
 
 
+@query
+def als_normal_equations(spark, folder):
+    """Users whose factors solve the regularised least squares of their ratings, given the items' factors.
+
+    Training ends with the users. What is left of the equations is held against the sum of
+    the terms' sizes, as factors are single precision.
+    """
+    rated = ratings(spark, folder)
+    model = als.train(rated, ALS_RANK, ALS_ITERATIONS, SEED)
+    users = model.userFactors.select(F.col("id").alias("user"), F.col("features").alias("x"))
+    items = model.itemFactors.select(F.col("id").alias("item"), F.col("features").alias("y"))
+    pairs = rated.join(users, "user").join(items, "item")
+    error = F.aggregate(F.zip_with("x", "y", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda s, v: s + v) - F.col("rating")
+    terms = pairs.select("user", "rating", "x", error.alias("e"), F.posexplode("y").alias("place", "yv"))
+    sums = terms.groupBy("user", "place").agg(
+        F.sum(F.col("e") * F.col("yv")).alias("fit"),
+        F.count("*").alias("n"),
+        F.first(F.get("x", F.col("place"))).cast("double").alias("xv"),
+        F.sum(F.abs(F.col("rating") * F.col("yv"))).alias("scale"),
+    )
+    left = F.abs(F.col("fit") + F.lit(als.LAMBDA) * F.col("n") * F.col("xv")) <= 1e-3 * (F.col("scale") + 1)
+    return sums.groupBy("user").agg(F.min(left).alias("solved"))
+
+
+@query
+def als_predict_dot(spark, folder):
+    """Every rated pair, and whether its prediction is the product of the exported factors."""
+    rated = ratings(spark, folder)
+    model = als.train(rated, ALS_RANK, ALS_ITERATIONS, SEED)
+    sides = als.factors(model)
+    own = sides.where("side = 'user'").selectExpr("id as user", "position", "value as a")
+    other = sides.where("side = 'item'").selectExpr("id as item", "position", "value as b")
+    scored = als.predict(model, rated)
+    products = scored.join(own, "user").join(other, ["item", "position"])
+    summed = products.groupBy("user", "item").agg(
+        F.sum(F.col("a").cast("double") * F.col("b")).alias("dot"), F.first("prediction").alias("p")
+    )
+    return summed.select("user", "item", (F.abs(F.col("dot") - F.col("p")) <= 1e-4 * (F.abs("dot") + 1)).alias("same"))
+
+
 @query
 def als_top100(spark, folder):
     rated = ratings(spark, folder)
     return als.top_predictions(als.predict(als.train(rated, ALS_RANK, ALS_ITERATIONS, SEED), rated))
 
 
+@query
+def als_top100_pairs(spark, folder):
+    """Which pairs the report of 100 predictions names."""
+    return als_top100(spark, folder).select("user", "item")
+
+
 ALS_SPARSE_SHARE = 0.05
 
 
