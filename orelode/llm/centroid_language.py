@@ -63,7 +63,7 @@ def fit(
     rows_per_language: int = 500,
     centroids: int = 4,
     dims: int = 1 << 13,
-    reject: float = 0.5,
+    reject: float = 0.3,
 ) -> LanguageModel:
     """Learn from at most about ``rows_per_language`` whole texts of each label, drawn by a hash of the text.
 
