@@ -67,8 +67,8 @@ def fit(
 ) -> LanguageModel:
     """Learn from at most about ``rows_per_language`` whole texts of each label, drawn by a hash of the text.
 
-    Null labels, and texts that are null or have no letter, teach nothing; repeated texts
-    are drawn together. ``reject`` scales the limit: the lowest cosine that a text of the
+    Null labels, and texts that are null or have no letter, teach nothing; a repeated text
+    teaches once. ``reject`` scales the limit: the lowest cosine that a text of the
     sample has to its own language, times ``reject``.
     Without any usable row the model knows no language.
     """
@@ -81,7 +81,8 @@ def fit(
         return LanguageModel([], np.zeros((0, dims)), np.ones(dims), 0.0)
     share = F.create_map(*[F.lit(v) for r in counted for v in (r["lang"], min(1.0, rows_per_language / r["count"]))])
     drawn = F.pmod(F.xxhash64("text"), F.lit(1_000_003)) < share[F.col("lang")] * 1_000_003
-    sample = rows.where(drawn)
+    # Copies of a text are drawn together, and teach once.
+    sample = rows.where(drawn).distinct()
     idf = _idf(sample, dims)
 
     def cluster(group: pd.DataFrame) -> pd.DataFrame:

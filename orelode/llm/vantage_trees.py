@@ -22,8 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LEAF = 64
-#: Vectors of a shard, and queries that walk a tree together.
-SHARD_ROWS, QUERY_ROWS = 8192, 512
+#: Vectors of a shard, queries that one task puts to a shard, and those that walk its tree together.
+SHARD_ROWS, QUERY_ROWS, WALK_ROWS = 8192, 8192, 512
 #: Rounding of distances is far below this; skipping leaves so much room.
 SLACK = 1e-9
 
@@ -122,22 +122,20 @@ def nearest(
     candidates of another length than the query's. All candidates are returned if they
     are fewer than ``k``; no candidates or no queries give no rows.
 
-    Shards hold about SHARD_ROWS rows each; the queries go to every shard in blocks, and
-    each shard answers with at most ``k`` rows per query.
+    Shards hold about SHARD_ROWS rows each and blocks about QUERY_ROWS queries. Every
+    block meets every shard in a task of its own, which returns ``k`` rows per query.
     """
     spark = df.sparkSession
     index, asked = _usable(df, key, vector), _usable(queries, key, vector)
     shards = max(1, -(-index.count() // SHARD_ROWS))
-    index = index.withColumn("shard", _dealt(shards))
-    blocks = asked.groupBy(_dealt(max(1, -(-asked.count() // QUERY_ROWS))).alias("block"))
-    blocks = blocks.agg(F.collect_list(F.struct("id", "v")).alias("asked"))
-    everywhere = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    blocks = max(1, -(-asked.count() // QUERY_ROWS))
+    index = index.withColumn("shard", _dealt(shards)).withColumn("block", _each(blocks))
+    asked = asked.withColumn("block", _dealt(blocks)).withColumn("shard", _each(shards))
 
-    def answer(key_: tuple, rows: pd.DataFrame, blocks_: pd.DataFrame) -> pd.DataFrame:
-        found = [search_shard(rows, block, k, factor) for block in blocks_["asked"]] if len(rows) else []
-        return pd.concat([_EMPTY, *found])
+    def answer(key_: tuple, rows: pd.DataFrame, queries_: pd.DataFrame) -> pd.DataFrame:
+        return search_shard(rows, queries_, k, factor) if len(rows) else _EMPTY
 
-    partial = index.groupBy("shard").cogroup(everywhere.groupBy("shard")).applyInPandas(
+    partial = index.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(
         answer, "query_id long, vec_id long, score double"
     )
     # k rows per query and shard.
@@ -146,18 +144,14 @@ def nearest(
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
-def search_shard(rows: pd.DataFrame, block: list, k: int, factor: float) -> pd.DataFrame:
+def search_shard(rows: pd.DataFrame, queries: pd.DataFrame, k: int, factor: float) -> pd.DataFrame:
     """The k nearest rows of one shard to each query of a block, as (query_id, vec_id, score)."""
     out = [_EMPTY]
-    widths = rows["v"].map(len).to_numpy()
-    for width in np.unique(widths):
-        part = rows[widths == width]
-        asked = [q for q in block if len(q["v"]) == width]
-        if not asked:
-            continue
+    widths, asked_widths = (d["v"].map(len).to_numpy() for d in (rows, queries))
+    for width in np.intersect1d(widths, asked_widths):
+        part, asked = rows[widths == width], queries[asked_widths == width]
         ids, x = part["id"].to_numpy(), np.stack(part["v"].to_numpy()).astype(np.float64)
-        query_ids = np.array([q["id"] for q in asked])
-        y = np.stack([np.asarray(q["v"], np.float64) for q in asked])
+        query_ids, y = asked["id"].to_numpy(), np.stack(asked["v"].to_numpy()).astype(np.float64)
         best_ids = np.full((len(y), k), np.iinfo(np.int64).max)
         best = np.full((len(y), k), -np.inf)
 
@@ -181,7 +175,9 @@ def search_shard(rows: pd.DataFrame, block: list, k: int, factor: float) -> pd.D
             return np.where(np.isinf(worst), np.inf, np.sqrt(np.maximum(0.0, 2.0 - 2.0 * worst)))
 
         tree = Tree(unit)
-        tree.search(asked_unit, factor, visit)
+        for i in range(0, len(y), WALK_ROWS):
+            walking = np.arange(i, min(i + WALK_ROWS, len(y)))
+            tree.search(asked_unit[walking], factor, lambda here, leaf, own=walking: visit(own[here], leaf))
         held = np.isfinite(best)
         out.append(
             pd.DataFrame({"query_id": np.repeat(query_ids, k)[held.ravel()], "vec_id": best_ids[held], "score": best[held]})
@@ -199,6 +195,11 @@ def _dealt(parts: int) -> Column:
     return F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(parts)).cast("int")
 
 
+def _each(parts: int) -> Column:
+    """A row for each of ``parts``."""
+    return F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+
+
 def _usable(df: DataFrame, key: str, vector: str) -> DataFrame:
     """id and v (doubles) of the rows that take part."""
     rows = df.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
