@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from orelode.functions.text import class_code, number_or_zero
 from orelode.functions.vectors import l2_norm, sq_distance
 from orelode.operators import als, kmeans, kmeans_start, naive_bayes, pca, sampling, summary, tfidf
+from orelode.operators.partitions import persisted, spread
 from orelode.plans.inputs import (
     CENTERS,
     EMBEDDING,
@@ -330,7 +331,9 @@ def kmeans_reduce_candidates(spark, folder):
 
 @query
 def kmeans_train(spark, folder):
-    run = kmeans.train(line_items(spark, folder), F4, 4, 10, seed=SEED, key=KEY)
+    # Some twenty passes over six narrow columns.
+    with persisted(spread(line_items(spark, folder))) as items:
+        run = kmeans.train(items, F4, 4, 10, seed=SEED, key=KEY)
     return _rounded_patterns(run.patterns(spark))
 
 
