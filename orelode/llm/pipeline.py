@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from orelode.llm import ans_tokens, centroid_language, hash_mixture, string_tiling, tensor_minhash
-from orelode.llm.queries import END_ID, WEIGHTS, table
+from orelode.llm.queries import END_ID, LEAK_COVERAGE, WEIGHTS, table
 from orelode.session import ship_package
 from orelode.sources.storage import stage, work_path
 
@@ -28,8 +28,8 @@ def one_of_each(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents that hold no passage of the benchmark."""
-    return string_tiling.keep_clean(docs, table(spark, folder, "benchmark"))
+    """Documents that hold less than LEAK_COVERAGE of every benchmark item in runs of 5 words and up."""
+    return string_tiling.keep_clean(docs, table(spark, folder, "benchmark"), LEAK_COVERAGE)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -6,7 +6,8 @@ import random
 
 import numpy as np
 
-from orelode.llm import string_tiling
+from orelode.llm import queries, string_tiling
+from orelode.llm.pipeline import without_leaks
 
 ITEM = "The quick brown fox, it seems, jumps over the lazy dog and then runs far away from all of us."
 
@@ -83,3 +84,19 @@ def test_clean_rows_stay(spark, documents):
     assert sorted((r.doc_id, r.text or "") for r in out.collect()) == [(2, ""), (3, "clean"), (3, "clean")]
     assert string_tiling.keep_clean(df, benchmark.limit(0)).count() == 5
     assert string_tiling.keep_clean(documents([]), benchmark).count() == 0
+
+
+def test_shuffled_sentences_and_most_of_an_item_are_leaks(spark, documents, tmp_path):
+    rng = random.Random(6)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    sentences = [" ".join(word() for _ in range(n)) + "." for n in (7, 3, 9, 4, 8, 4, 6)]
+    item = " ".join(sentences)
+    turned = " ".join(f"{s} {word()} {word()}" for s in (sentences[i] for i in (4, 1, 6, 3, 0, 5, 2)))
+    part = " ".join([word(), *item.split()[: int(0.6 * 41)], word()])
+    rows = [(1, turned), (2, part), (3, " ".join(item.split()[:12])), (4, item), (5, " ".join(word() for _ in range(90)))]
+    documents(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = queries.op6_string_tiling(spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.n_covered) for r in found) == [(1, 30), (2, 24), (4, 41)]
+    clean = without_leaks(spark, queries.table(spark, str(tmp_path), "documents"), str(tmp_path))
+    assert sorted(r.doc_id for r in clean.collect()) == [3, 5]
