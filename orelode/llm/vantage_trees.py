@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 LEAF = 64
 #: Vectors of a shard, queries that one task puts to a shard, and those that walk its tree together.
 SHARD_ROWS, QUERY_ROWS, WALK_ROWS = 8192, 8192, 512
-#: Rounding of distances is far below this; skipping leaves so much room.
+#: Rounding of cosines is far below this; sorting out candidates leaves so much room.
 SLACK = 1e-9
 
 
@@ -60,7 +60,7 @@ class Tree:
 
         ``visit`` returns the k-th distance of all queries so far.
         """
-        reach = np.full(len(queries), np.inf)
+        reach, slack = np.full(len(queries), np.inf), distance_slack(queries.shape[1])
         home = np.zeros(len(queries), np.int64)
         self._descend(0, np.arange(len(queries)), queries, home)
         for leaf in np.unique(home):
@@ -78,7 +78,7 @@ class Tree:
             d = distances(queries[here], self.unit[vantage][None])[:, 0]
             for child, low, high in ((right, *edges[2:]), (left, *edges[:2])):
                 gap = np.maximum(low - d, d - high)
-                going = here[gap * factor <= reach[here] + SLACK]
+                going = here[gap * factor <= reach[here] + slack]
                 if len(going):
                     stack.append((child, going))
 
@@ -100,6 +100,15 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (a @ b.T)))
 
 
+def distance_slack(width: int) -> float:
+    """More than what three distances of vectors of so many components are off by rounding.
+
+    The squared distance is off by about ``width`` units in the last place at most, and
+    near 0 the distance by the root of that.
+    """
+    return 3.0 * float(np.sqrt(4 * (width + 4) * np.finfo(np.float64).eps))
+
+
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Cosine of each pair of rows in double precision, summed alike for every pair."""
     products = (a * b).sum(-1)

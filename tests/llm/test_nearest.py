@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from orelode.llm import vantage_trees
@@ -70,3 +71,18 @@ def test_what_takes_no_part(spark):
     assert {(q, r, i) for q, r, i, _ in out} == {(1, 1, 2), (1, 2, 2)}
     assert found(spark, rows, rows[2:3]) == set()
     assert found(spark, rows[2:3], rows[:1]) == set()
+
+
+@pytest.mark.parametrize("leaf", [2, 5, 64])
+def test_equal_vectors_keep_the_smallest_ids(monkeypatch, leaf):
+    monkeypatch.setattr(vantage_trees, "LEAF", leaf)
+    rng = np.random.default_rng(3)
+    for width in (8, 64):
+        x = rng.normal(size=(500, width))
+        x[:400] = x[0]
+        ids = rng.permutation(500)
+        rows = pd.DataFrame({"id": ids, "v": list(x)})
+        for at in range(0, 400, 10):
+            found = vantage_trees.search_shard(rows, rows.iloc[at : at + 1], 5, 1.0)
+            own = sorted(set(ids[:400]) - {ids[at]})[:5]
+            assert found["vec_id"].tolist() == own and np.allclose(found["score"], 1)
