@@ -65,8 +65,8 @@ class Benchmark:
         for item in np.unique(owners):
             item_id, text = self.items[item]
             own = of_seed[owners == item]
-            # A tile of n words holds n - SEED + 1 seeds, so this many at least must be shared.
-            if len(own) * SEED < coverage * len(np.unique(shingles(text, SEED))):
+            # A tile of n words begins n - SEED + 1 seeds of the item, a fifth of n at least; repeats count.
+            if np.isin(shingles(text, SEED), distinct[own]).sum() * SEED < coverage * len(text):
                 continue
             tiles = list(self._tile(words, shared[np.isin(inverse, own)], text))
             if sum(n for _, _, n in tiles) >= coverage * len(text):

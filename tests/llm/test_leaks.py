@@ -100,3 +100,10 @@ def test_shuffled_sentences_and_most_of_an_item_are_leaks(spark, documents, tmp_
     assert sorted((r.doc_id, r.n_covered) for r in found) == [(1, 30), (2, 24), (4, 41)]
     clean = without_leaks(spark, queries.table(spark, str(tmp_path), "documents"), str(tmp_path))
     assert sorted(r.doc_id for r in clean.collect()) == [3, 5]
+
+
+def test_repeated_runs_of_an_item_count_as_often_as_they_stand(spark, documents):
+    rng = random.Random(7)
+    phrase = "round and round it goes "
+    item = phrase * 24 + " ".join(f"w{rng.randrange(10**6)}" for _ in range(30))
+    assert leaks(spark, documents, [(1, phrase * 24), (2, phrase * 9)], [(1, item)]) == [(1, 1, 150, 120, 1)]
