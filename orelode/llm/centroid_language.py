@@ -4,7 +4,7 @@ A text becomes lower-case letters with single blanks between words; its runs of
 three characters are counted in hashed dimensions, damped, weighted by rarity and brought
 to length 1. Every language has several centroids, from a spherical k-means over its own
 rows, and a text belongs to the language of the nearest one. A text whose nearest
-centroid is farther away than the model's limit is rejected.
+centroid is farther away than that language's limit for texts of its length is rejected.
 """
 
 from __future__ import annotations
@@ -25,35 +25,48 @@ ORDERS = (1, 2, 3)
 #: Characters and texts that are worked on at a time.
 CHUNK, ROWS = 1 << 18, 128
 MAX_LANGUAGES = 1000
+#: Limits stand for lengths from 2**j to 2**(j + 1) characters, from this j on; shorter texts have none.
+SHORTEST, LENGTHS = 2, 40
+#: Stretches that a limit is the low quantile of, at least, and stretches of one length drawn per language.
+PIECES, DRAWN = 20, 100
+QUANTILE = 0.05
 
 _kinds: list[np.ndarray] = []
 
 
 @dataclass
 class LanguageModel:
-    """``centroids`` has a row of length 1 per entry of ``languages``; one language has several."""
+    """``centroids`` has a row of length 1 per entry of ``languages``; one language has several.
+
+    ``limits`` has a row per centroid and a column per class of lengths.
+    """
 
     languages: list[str]
     centroids: np.ndarray
     idf: np.ndarray
-    limit: float
+    limits: np.ndarray
 
-    def vectors(self, texts: list[str | None]) -> np.ndarray:
-        x = np.stack([counts(t, len(self.idf)) for t in texts])
-        return normalised(x, self.idf)
+    @property
+    def limit(self) -> float:
+        """The lowest limit of any language and length."""
+        return float(self.limits.min(initial=1.0)) if self.languages else 0.0
 
-    def nearest(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """The nearest centroid of each text and its cosine; -1 and 0 for a text without letters."""
-        where, cosine = np.full(len(texts), -1), np.zeros(len(texts))
+    def nearest(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The nearest centroid of each text, its cosine, and if it is rejected; -1, 0 and yes without letters."""
+        where, cosine, rejected = np.full(len(texts), -1), np.zeros(len(texts)), np.ones(len(texts), bool)
         if not self.languages:
-            return where, cosine
+            return where, cosine, rejected
         for i in range(0, len(texts), ROWS):
             part = texts[i : i + ROWS]
-            scores = self.vectors(part) @ self.centroids.T
+            x = np.stack([counts(t, len(self.idf)) for t in part])
+            scores = normalised(x, self.idf) @ self.centroids.T
             lettered = np.array([has_letter(t) for t in part])
-            where[i : i + ROWS] = np.where(lettered, scores.argmax(1), -1)
-            cosine[i : i + ROWS] = np.where(lettered, scores.max(1).clip(0, 1), 0.0)
-        return where, cosine
+            best, top, column = scores.argmax(1), scores.max(1).clip(0, 1), length_class(x)
+            limit = np.where(column < 0, 0.0, self.limits[best, column])
+            where[i : i + ROWS] = np.where(lettered, best, -1)
+            cosine[i : i + ROWS] = np.where(lettered, top, 0.0)
+            rejected[i : i + ROWS] = ~lettered | (top < limit)
+        return where, cosine, rejected
 
 
 def fit(
@@ -63,13 +76,14 @@ def fit(
     rows_per_language: int = 500,
     centroids: int = 4,
     dims: int = 1 << 13,
-    reject: float = 0.3,
+    reject: float = 0.4,
 ) -> LanguageModel:
     """Learn from at most about ``rows_per_language`` whole texts of each label, drawn by a hash of the text.
 
     Null labels, and texts that are null or have no letter, teach nothing; a repeated text
-    teaches once. ``reject`` scales the limit: the lowest cosine that a text of the
-    sample has to its own language, times ``reject``.
+    teaches once. ``reject`` scales the limits: a low quantile of the cosines that
+    stretches of a length, out of the sample's texts, have to their own language, times
+    ``reject``. So few odd texts of a sample move no limit, nor do other languages.
     Without any usable row the model knows no language.
     """
     rows = df.select(F.col(label).alias("lang"), F.col(text).alias("text"))
@@ -78,7 +92,7 @@ def fit(
     if len(counted) > MAX_LANGUAGES:
         raise ValueError(f"{label} has more than {MAX_LANGUAGES} values")
     if not counted:
-        return LanguageModel([], np.zeros((0, dims)), np.ones(dims), 0.0)
+        return LanguageModel([], np.zeros((0, dims)), np.ones(dims), np.zeros((0, LENGTHS)))
     share = F.create_map(*[F.lit(v) for r in counted for v in (r["lang"], min(1.0, rows_per_language / r["count"]))])
     drawn = F.pmod(F.xxhash64("text"), F.lit(1_000_003)) < share[F.col("lang")] * 1_000_003
     # Copies of a text are drawn together, and teach once.
@@ -88,16 +102,15 @@ def fit(
     def cluster(group: pd.DataFrame) -> pd.DataFrame:
         texts = sorted(group["text"])
         x = normalised(np.stack([counts(t, dims) for t in texts]), idf)
-        centres = spherical_kmeans(x, centroids)
-        lowest = float((x @ centres.T).max(1).min())
-        cells = [c.astype("<f8").tobytes() for c in centres]
-        return pd.DataFrame({"lang": group["lang"].iloc[0], "centroid": cells, "lowest": lowest})
+        limits = (reject * low_cosines(texts, x, idf, centroids)).astype("<f8").tobytes()
+        cells = [c.astype("<f8").tobytes() for c in spherical_kmeans(x, centroids)]
+        return pd.DataFrame({"lang": group["lang"].iloc[0], "centroid": cells, "limits": limits})
 
-    found = sample.groupBy("lang").applyInPandas(cluster, "lang string, centroid binary, lowest double").collect()
+    found = sample.groupBy("lang").applyInPandas(cluster, "lang string, centroid binary, limits binary").collect()
     found.sort(key=lambda r: (r["lang"], bytes(r["centroid"])))
     matrix = np.array([np.frombuffer(r["centroid"], "<f8") for r in found]).reshape(len(found), dims)
-    limit = reject * min((r["lowest"] for r in found), default=0.0)
-    return LanguageModel([r["lang"] for r in found], matrix, idf, limit)
+    limits = np.array([np.frombuffer(r["limits"], "<f8") for r in found]).reshape(len(found), LENGTHS)
+    return LanguageModel([r["lang"] for r in found], matrix, idf, limits)
 
 
 def predict(df: DataFrame, model: LanguageModel, text: str = "text", keep: list[str] = ("doc_id",)) -> DataFrame:
@@ -112,9 +125,9 @@ def predict(df: DataFrame, model: LanguageModel, text: str = "text", keep: list[
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
-            where, cosine = known.nearest(batch.column(len(names)).to_pylist())
+            where, cosine, rejected = known.nearest(batch.column(len(names)).to_pylist())
             languages = [known.languages[w] if w >= 0 else UNKNOWN for w in where]
-            out = [pa.array(languages, pa.string()), pa.array(cosine), pa.array((where < 0) | (cosine < known.limit))]
+            out = [pa.array(languages, pa.string()), pa.array(cosine), pa.array(rejected)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[: len(names)], *out], names=[*names, "lang_pred", "score", "rejected"]
             )
@@ -131,8 +144,8 @@ def keep_known(df: DataFrame, model: LanguageModel, text: str = "text") -> DataF
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
-            where, cosine = known.nearest(batch.column(place).to_pylist())
-            yield batch.filter(pa.array((where >= 0) & (cosine >= known.limit)))
+            _, _, rejected = known.nearest(batch.column(place).to_pylist())
+            yield batch.filter(pa.array(~rejected))
 
     return df.mapInArrow(keep, df.schema)
 
@@ -180,6 +193,42 @@ def spherical_kmeans(x: np.ndarray, k: int, passes: int = 10) -> np.ndarray:
     return chosen
 
 
+def length_class(x: np.ndarray) -> np.ndarray:
+    """The column of ``limits`` for texts of these counts; -1 for a text that is too short for any."""
+    # Every order counts one run per character, but for the last few.
+    length = np.maximum(1.0, (x.sum(1) + sum(ORDERS) - len(ORDERS)) / len(ORDERS))
+    return np.clip(np.floor(np.log2(length)).astype(int) - SHORTEST, -1, LENGTHS - 1)
+
+
+def low_cosines(texts: list[str], x: np.ndarray, idf: np.ndarray, centroids: int) -> np.ndarray:
+    """The QUANTILE of the cosines to their own language, for each class of lengths.
+
+    Stretches of a class's least length and whole texts are held against centroids of the
+    other half of the texts. A class of few stretches has the value of the one below.
+    """
+    halves = [spherical_kmeans(x[1 - h :: 2], centroids) for h in (0, 1)] if len(x) > 1 else [x, x]
+    rng, each = np.random.default_rng(len(texts)), -(-DRAWN // len(texts))
+    found: list[list[float]] = [[] for _ in range(LENGTHS)]
+    for i, text in enumerate(texts):
+        # Far stretches of a long text are as good as near ones.
+        at = int(rng.integers(max(1, len(text) - CHUNK)))
+        read = "".join(map(chr, _letters(text[at : at + CHUNK])))
+        own = [counts(text, len(idf))]
+        for j in range(SHORTEST, len(read).bit_length()):
+            n = 1 << j
+            own += [counts(read[a : a + n], len(idf)) for a in rng.integers(len(read) - n + 1, size=each)]
+            if len(own) > ROWS or n * 2 > len(read):
+                own_x, own = np.stack(own), []
+                top = (normalised(own_x, idf) @ halves[i % 2].T).max(1)
+                for column, cosine in zip(length_class(own_x), top, strict=True):
+                    if column >= 0:
+                        found[column].append(cosine)
+    low = np.zeros(LENGTHS)
+    for j, cosines in enumerate(found):
+        low[j] = np.quantile(cosines, QUANTILE) if len(cosines) >= PIECES else low[j - 1] if j else 0.0
+    return low
+
+
 def _letters(text: str) -> np.ndarray:
     """Code points of the lower-case text, with one blank for each run of anything but letters and marks."""
     if not _kinds:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from orelode.llm import centroid_language
 
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
 SYLLABLES = {"aa": "ka ro mi ten sal", "bb": "gloo frax wim bur tch", "cc": "né ouê lai tré ç"}
 
 
@@ -62,3 +63,30 @@ def test_known_rows_stay_unchanged(documents):
     assert out.columns == df.columns and out.count() == 102
     assert out.where(F.col("doc_id").isNull()).count() == 2
     assert centroid_language.keep_known(documents([]), centroid_language.fit(df)).count() == 0
+
+
+FOREIGN = [
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, "
+    "ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+    "Tutti gli esseri umani nascono liberi ed eguali in dignità e diritti. Essi sono dotati di ragione e di coscienza e "
+    "devono agire gli uni verso gli altri in spirito di fratellanza.",
+    "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve birbirlerine karşı "
+    "kardeşlik zihniyeti ile hareket etmelidirler.",
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem "
+    "i powinni postępować wobec innych w duchu braterstwa.",
+]
+
+
+def test_latin_languages_and_random_letters_are_rejected(spark):
+    rng = random.Random(4)
+    noise = [" ".join("".join(rng.choices(a, k=rng.randint(2, 9))) for _ in range(40)) for a in (LETTERS, "asdfghjkl")]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    # One odd training text of each language sets no limit.
+    odd = [(-i, t, lang) for i, (t, lang) in enumerate([("x", "en"), ("щж", "en"), ("qq", "de"), ("zzz zz", "fr")], 1)]
+    model = centroid_language.fit(docs.unionByName(spark.createDataFrame(odd, docs.schema)))
+    assert model.nearest([*FOREIGN, *noise])[2].all()
+    rows = docs.where("lang is not null").toPandas()
+    kept = ~model.nearest(rows["text"].tolist())[2]
+    assert kept.mean() >= 0.995
+    short = rows["text"].str.len() < 60
+    assert short.sum() > 10 and kept[short].mean() >= 0.95
