@@ -23,9 +23,12 @@ from pyspark.sql import functions as F
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes noscript textarea title template".split())
 HIDDEN = frozenset(
-    "head title script style template noscript noembed noframes iframe object svg math canvas audio video datalist "
-    "map col colgroup param source track meta link base area textarea".split()
+    "head title script style template noscript noembed noframes iframe canvas audio video datalist "
+    "map col colgroup param source track meta link base area annotation annotation-xml mphantom".split()
 )
+#: Of a drawing, the contents of its texts and of embedded HTML are shown, but not what it only defines.
+SHOWN = frozenset(["text", "foreignobject"])
+DEFINED = frozenset("desc defs metadata symbol clippath mask pattern marker".split())
 PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol menu dl table figure hr fieldset xmp listing".split())
 LINES = frozenset(
     "html body div section article aside nav header footer main address center dt dd li form details summary figcaption "
@@ -154,12 +157,15 @@ def parse(page: str) -> Node:
         elif tag == "tr" and open_[-1].tag == "table":
             push(Node("tbody"))
         node = Node(tag, attributes)
-        if tag in VOID:
+        foreign = tag in ("svg", "math") or (count.get("svg") or count.get("math")) and not count.get("foreignobject")
+        if tag in VOID or foreign and attributes.endswith("/"):
             open_[-1].children.append(node)
         elif tag in RAW:
             open_[-1].children.append(node)
             stop = re.compile(f"</{tag}(?=[\\s/>])", re.IGNORECASE).search(page, place)
             raw = page[place : stop.start() if stop else len(page)]
+            if tag == "textarea":
+                raw = re.sub(r"\r\n?", "\n", raw).removeprefix("\n")
             node.children.append(html.unescape(raw) if tag in ("title", "textarea") else raw)
             place = stop.start() if stop else len(page)
             if stop:
@@ -223,15 +229,19 @@ class Layout:
 def render(page: str | None) -> str:
     """All visible text of a page; '' for null."""
     layouts, lists, tables, kept = [Layout()], [], [], 0
+    #: Whether text shows, for the page and each element that decides it anew in a drawing.
+    shows = [True]
     work: list[tuple[Node | str, bool]] = [(parse(page or ""), False)]
     while work:
         node, leaving = work.pop()
         here = layouts[-1]
         if isinstance(node, str):
-            here.text(node, kept > 0)
+            if shows[-1]:
+                here.text(node, kept > 0)
             continue
         tag = node.tag
-        gap = 2 if tag in PARAGRAPHS else 1 if tag in LINES else 0
+        drawn = tag == "svg" or tag in SHOWN and (len(shows) > 1)
+        gap = 2 if tag in PARAGRAPHS else 1 if tag in LINES or tag == "textarea" or drawn and tag != "svg" else 0
         if leaving:
             if tag in CELLS and tables:
                 cell = layouts.pop().finish()
@@ -243,19 +253,21 @@ def render(page: str | None) -> str:
                 for line in _aligned(tables.pop()):
                     here.parts.append(line)
                     here.flush(True)
-            elif tag in ("pre", "listing", "xmp"):
+            elif tag in ("pre", "listing", "xmp", "textarea"):
                 kept -= 1
             elif tag in ("ul", "ol", "menu", "dir") and lists:
                 lists.pop()
                 if lists:
                     gap = 1
+            if drawn:
+                shows.pop()
             if gap:
                 here.block(gap)
             if tag in ("li", "dd", "blockquote") and here.indents:
                 here.indents.pop()
                 here.marker = ""
             continue
-        if node.hidden():
+        if node.hidden() or len(shows) > 1 and tag in DEFINED:
             continue
         if tag == "br":
             here.flush(True)
@@ -279,7 +291,7 @@ def render(page: str | None) -> str:
             here.indents.append(" " * len(here.marker))
         elif tag in ("dd", "blockquote"):
             here.indents.append("    " if tag == "dd" else "  ")
-        elif tag in ("pre", "listing", "xmp"):
+        elif tag in ("pre", "listing", "xmp", "textarea"):
             kept += 1
         elif tag == "table":
             tables.append([])
@@ -289,6 +301,8 @@ def render(page: str | None) -> str:
             if not tables[-1]:
                 tables[-1].append([])
             layouts.append(Layout())
+        if drawn:
+            shows.append(tag != "svg")
         work.append((node, True))
         work.extend((child, False) for child in reversed(node.children))
     return "\n".join(layouts[0].finish())

@@ -63,3 +63,24 @@ def test_extract(spark):
     out = sorted((r.page_id or 0, r.title, r.text, r.n_lines) for r in extract(df).collect())
     assert out == [(0, "", "", 0), (1, "t", "a\n\nb", 3), (2, "", "", 0), (2, "", "", 0)]
     assert extract(df.limit(0)).collect() == [] and title("<TITLE>a\n b") == "a b"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds", "so x=2 holds"),
+        ("<math><semantics><mi>y</mi><annotation>\\y</annotation></semantics></math>", "y"),
+        ("<p>a<textarea rows=2>\n  one &lt;b>\n\ntwo</textarea>b", "a\n  one <b>\n\ntwo\nb"),
+        (
+            "a<svg><title>no</title><desc>no</desc><defs><text>no</text></defs><style>no</style>no<g><text x=1>one "
+            "<tspan>two</tspan></text><line x1='0'/><text>three</text></g></svg>b",
+            "a\none two\nthree\nb",
+        ),
+        ("<svg><foreignObject><p>inner</foreignObject>no</svg>after", "inner\n\nafter"),
+        ("<svg><defs/><title/><text>label</text></svg><svg viewBox='0 0 1 1'/>after", "label\nafter"),
+        ("<object data=x><param name=p>instead <b>of it</b></object>", "instead of it"),
+        ("<text>plain</text> <canvas>no</canvas>x", "plain x"),
+    ],
+)
+def test_formulas_drawings_text_areas_and_fallbacks(page, text):
+    assert render(page) == text
