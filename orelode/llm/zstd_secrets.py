@@ -26,7 +26,7 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 ASSIGN_LEAST, ACCESS_LEAST = 8, 16
 KINDS = ("assign", "access", "hex", "novel")
 
-#: A candidate has a digit and a letter, or both cases, and at least this many characters.
+#: A candidate has at least this many characters; what a shorter one adds tells little.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 #: What makes the place of a candidate sensitive, within CONTEXT characters before it.
 SENSITIVE = re.compile(
@@ -78,17 +78,24 @@ class Scanner:
         found = []
         for m in CANDIDATE.finditer(text):
             start, end = m.span()
-            if not _mixed(m.group()) or any(s < end and start < e for s, _, e in known):
+            if any(s < end and start < e for s, _, e in known):
                 continue
-            if SENSITIVE.search(text, max(0, start - CONTEXT), start) and self.added(text, start, end) >= self.novelty:
+            if SENSITIVE.search(text, max(0, start - CONTEXT), start) and self.added(text, start, end, True) >= self.novelty:
                 found.append((start, 3, end))
         return found
 
-    def added(self, text: str, start: int, end: int) -> float:
-        """Compressed bytes that the candidate adds to the text around it, per byte of its own."""
-        before = text[max(0, start - AROUND) : start]
-        around = (text[end : end + AROUND] + before).encode("utf-8", "replace")
-        own = text[start:end].encode()
+    def added(self, text: str, start: int, end: int, alone: bool = False) -> float:
+        """Compressed bytes that the candidate adds to the text around it, per byte of its own.
+
+        ``alone`` takes other places of the same candidate out of that text.
+        """
+        own = text[start:end]
+        # Copies that the edge of the text around would cut are taken out too.
+        more = len(own) if alone else 0
+        before, after = text[max(0, start - AROUND - more) : start], text[end : end + AROUND + more]
+        if alone:
+            before, after = before.replace(own, " ")[-AROUND:], after.replace(own, " ")[:AROUND]
+        around, own = (after + before).encode("utf-8", "replace"), own.encode()
         return (len(self.compressor.compress(around + own)) - len(self.compressor.compress(around))) / len(own)
 
     def spans(self, text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
@@ -128,9 +135,3 @@ def joined(spans: list[tuple[str, int, int]]) -> str:
 
 def sha256(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
-
-
-def _mixed(candidate: str) -> bool:
-    digit = any(map(str.isdigit, candidate))
-    upper, lower = any(map(str.isupper, candidate)), any(map(str.islower, candidate))
-    return digit and (upper or lower) or upper and lower and len(candidate) >= 24

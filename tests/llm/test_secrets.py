@@ -57,3 +57,12 @@ def test_long_text_and_empty_table(documents):
     (row,) = zstd_secrets.find_secrets(documents([(None, text)])).collect()
     assert [(s.start, s.end) for s in row.found] == [(1_000_000, 1_000_017)]
     assert zstd_secrets.find_secrets(documents([])).collect() == []
+
+
+def test_keys_of_one_case_and_repeated_keys_are_novel():
+    scanner = zstd_secrets.Scanner()
+    for key in ("qzjxkvwpgmtbyhrl", "QZJXKVWPGMTBYHRLDNCF", "kQxZpLmVtRwYbNsHd", KEY):
+        text = f"the session cookie was {key} and the key is {key} again"
+        first, second = text.index(key), text.rindex(key)
+        assert scanner.novel(text, []) == [(first, 3, first + len(key)), (second, 3, second + len(key))]
+    assert scanner.novel("the key " + "=" * 40 + " and the key " + "a" * 40, []) == []
