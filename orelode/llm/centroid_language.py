@@ -88,15 +88,19 @@ def fit(
     """
     rows = df.select(F.col(label).alias("lang"), F.col(text).alias("text"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counted = rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
+    place = F.pmod(F.xxhash64("text"), F.lit(1_000_003))
+    # Copies of a text are drawn together, and teach once, so they count once.
+    hashed = rows.select("lang", F.xxhash64("text").alias("hash"), place.alias("place")).distinct()
+    counted = hashed.groupBy("lang").agg(F.count("*").alias("count"), F.min("place").alias("least"))
+    counted = counted.limit(MAX_LANGUAGES + 1).collect()
     if len(counted) > MAX_LANGUAGES:
         raise ValueError(f"{label} has more than {MAX_LANGUAGES} values")
     if not counted:
         return LanguageModel([], np.zeros((0, dims)), np.ones(dims), np.zeros((0, LENGTHS)))
-    share = F.create_map(*[F.lit(v) for r in counted for v in (r["lang"], min(1.0, rows_per_language / r["count"]))])
-    drawn = F.pmod(F.xxhash64("text"), F.lit(1_000_003)) < share[F.col("lang")] * 1_000_003
-    # Copies of a text are drawn together, and teach once.
-    sample = rows.where(drawn).distinct()
+    # The text of lowest hash is drawn at any share, so every language is learned.
+    bounds = {r["lang"]: max(1_000_003 * min(1.0, rows_per_language / r["count"]), r["least"] + 0.5) for r in counted}
+    bound = F.create_map(*[F.lit(v) for item in bounds.items() for v in item])
+    sample = rows.where(place < bound[F.col("lang")]).distinct()
     idf = _idf(sample, dims)
 
     def cluster(group: pd.DataFrame) -> pd.DataFrame:

@@ -90,3 +90,10 @@ def test_latin_languages_and_random_letters_are_rejected(spark):
     assert kept.mean() >= 0.995
     short = rows["text"].str.len() < 60
     assert short.sum() > 10 and kept[short].mean() >= 0.95
+
+
+def test_a_language_of_copies_is_learned(documents):
+    copies = [(i, t, lang) for _, t, lang in rows(30) for i in range(200 if lang == "bb" else 1)]
+    model = centroid_language.fit(documents(copies), rows_per_language=20, centroids=40)
+    assert model.languages.count("bb") == len({t for _, t, lang in copies if lang == "bb"})
+    assert sorted(set(centroid_language.fit(documents(copies), rows_per_language=0).languages)) == ["aa", "bb", "cc"]
