@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -577,12 +578,20 @@ def tfidf_hashed(spark, folder):
 
 
 def _file(lines_: DataFrame, header: str | None, what: str) -> str:
-    """Write lines as a text file of one part, after a header if there is one."""
+    """Write lines as text, every part after a header if there is one."""
     spark = lines_.sparkSession
     path = storage.work_path(spark, what)
     values = lines_.select("value")
     if header is not None:
-        values = spark.createDataFrame([(header,)], "value string").unionByName(values).coalesce(1)
+
+        def headed(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([header])], names=["value"])
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays(batch.columns, names=["value"])
+
+        # A part of the header alone, as a table without rows has no parts.
+        alone = spark.createDataFrame([(header,)], "value string").coalesce(1)
+        values = alone.unionByName(values.mapInArrow(headed, "value string"))
     storage.write_result(values, path, "text")
     return path
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from orelode.functions.text import class_code, number_or_zero, split_tokens, term_bucket
 from orelode.operators import kmeans, naive_bayes, pca
+from orelode.plans import queries
 from orelode.sources import lines, storage
 
 ACTIVITY = (
@@ -149,3 +150,16 @@ def test_models_survive_saving(spark, tmp_path):
     model = pca.PcaModel("x", ["0", "1"], [[third, 0.5]], [0.75])
     storage.save_pca(spark, model, str(tmp_path / "pca"))
     assert storage.load_pca(spark, str(tmp_path / "pca")) == model
+
+
+def test_lines_are_written_in_parallel_below_a_header_each(spark):
+    values = spark.range(90).select(F.col("id").cast("string").alias("value")).repartition(3)
+    path = queries._file(values, "header", "headed")
+    place = F.monotonically_increasing_id().alias("place")
+    read = spark.read.text(path).select("value", F.input_file_name().alias("file"), place)
+    sizes = read.groupBy("file").agg(F.count("*"), F.min_by("value", "place")).drop("file").collect()
+    assert len(sizes) == 4 and {first for _, first in sizes} == {"header"} and max(sizes)[0] < 60
+    back = lines.drop_header(lines.read_lines(spark, path))
+    assert sorted(int(r.value) for r in back.collect()) == list(range(90))
+    empty = lines.read_lines(spark, queries._file(values.limit(0), "header", "headed"))
+    assert lines.drop_header(empty).collect() == []
