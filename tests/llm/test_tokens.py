@@ -8,10 +8,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from orelode.llm import ans_tokens, token_counts
+from orelode.llm import ans_tokens, token_counts, tokenizing
+from orelode.llm.arrays import utf8
 from orelode.sources.storage import work_path
 
 BYTES, WORDS = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "word_bpe_49k.json"))
@@ -21,6 +23,13 @@ PARTS = (
 )
 
 
+SCRIPTS = [
+    "हिन्दी में लिखा हुआ पाठ, और एक वाक्य।", "한국어 문장 하나. 또 하나의 글", "ภาษาไทย ไม่มีช่องว่าง ระหว่างคำ", "中文没有空格，但是有标点。第二句、第三句", "نص عربي قصير، ثم آخر",
+    "👍🏽 emoji 👩‍👩‍👧 😀 x", "QmFzZTY0IHRleHQgd2l0aG91dCBibGFua3M0Mg==", "Ελληνικά Σίσυφος ΣΑΣ τέλος", "a\u1680b c\u2003d e\u200bf g\u3000h i\ufeffj k\u180el m\u0301 \u0301n o\u00a0p",
+    "fi ﬁ K Å e\u0301 =\u0338 <\u0338 don't 'tis x's <|endoftext|>9<|startoftext|>a1b2 (x)-[y]",
+]
+
+
 def texts(n: int) -> list[str | None]:
     rng = random.Random(3)
     made = ["".join(rng.choices(PARTS, k=rng.randint(0, 40))) for _ in range(n)]
@@ -40,6 +49,43 @@ def test_counts_are_the_librarys(documents):
     assert {r.doc_id: (r.n_bytes, r.n_tokens, r.over_limit) for r in out} == expected
 
 
+def mixed_scripts(n: int) -> list[str]:
+    """Words of all scripts in any order, with one and more blanks between them."""
+    rng = random.Random(5)
+    words = [w for s in SCRIPTS for w in s.split(" ")]
+    return [*SCRIPTS, *("".join(rng.choice(words) + rng.choice([" "] * 6 + ["", "  ", "\n", " \n", "\t"]) for _ in range(rng.randint(1, 60))) for _ in range(n))]
+
+
+@pytest.mark.parametrize(("path", "uncased"), [(BYTES, False), (WORDS, True)])
+@pytest.mark.parametrize("memo", [1 << 12, 1 << 16, tokenizing.MEMO_BYTES])
+def test_pieces_of_all_scripts(path, uncased, memo, monkeypatch):
+    monkeypatch.setattr(tokenizing, "MEMO_BYTES", memo)
+    monkeypatch.setattr(tokenizing, "BLOCK_BYTES", 5000)
+    values = [v or "" for v in [*mixed_scripts(300), *texts(300)]]
+    expected = library(path, values)
+    for _ in range(2):
+        found = []
+        for _, ids, offsets in tokenizing.encode_column(pa.array(values), path, uncased):
+            found += [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:], strict=False)]
+        assert found == expected
+    assert tokenizing.pieces_of(path).size <= 2 * memo
+
+
+def test_memory_of_long_pieces_is_given_back():
+    rng = random.Random(2)
+    values = ["".join(chr(rng.randint(0x5000, 0x8FFF)) for _ in range(3000)) for _ in range(60)]
+    tokenizing.count_column(pa.array(values), BYTES)
+    pieces = tokenizing.pieces_of(BYTES)
+    assert not any(len(p) > tokenizing.MEMO_PIECE for p in pieces.memo)
+    assert pieces.pool.nbytes <= tokenizing.MEMO_BYTES
+
+
+@pytest.mark.parametrize("text", [SCRIPTS[0], SCRIPTS[1], SCRIPTS[3], SCRIPTS[6]])
+def test_long_texts_of_other_scripts_are_cut(text):
+    data, offsets = utf8(pa.array([(text + " ") * 50]))
+    assert len(tokenizing._cut(data, offsets, False)[1]) >= 100
+
+
 def test_counts_of_an_empty_table(documents):
     assert token_counts.count_tokens(documents([]), BYTES).collect() == []
 
