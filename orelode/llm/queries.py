@@ -14,6 +14,7 @@ from orelode.llm import (
     centroid_language,
     hash_mixture,
     html_layout,
+    island_packing,
     string_tiling,
     suffix_repeats,
     tensor_minhash,
@@ -28,6 +29,7 @@ REPEAT_BYTES = 200
 LINK_WORDS, LINK_SHARE = 2, 80
 END_ID = 2
 TOKEN_LIMIT = 1024
+PACK_TOKENS, PACK_END_ID = 2048, 0
 WEIGHTS = (5.0, 2.0, 1.0)
 NEIGHBOURS = 5
 #: Half of an item in a document tells a leak; reordered sentences of under 5 words are in no tile.
@@ -124,6 +126,13 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"), vocabulary, limit=TOKEN_LIMIT)
 
 
+def op11_island_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """The place of every piece of every document in sequences of 2048 tokens."""
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    packed = island_packing.pack_documents(table(spark, folder, "documents"), vocabulary, PACK_END_ID, PACK_TOKENS)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -137,5 +146,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_centroid_language,
         op9_hash_mixture,
         op10_token_counts,
+        op11_island_packing,
     )
 }
