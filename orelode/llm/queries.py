@@ -15,6 +15,7 @@ from orelode.llm import (
     hash_mixture,
     html_layout,
     island_packing,
+    periodic_runs,
     string_tiling,
     suffix_repeats,
     tensor_minhash,
@@ -30,6 +31,7 @@ LINK_WORDS, LINK_SHARE = 2, 80
 END_ID = 2
 TOKEN_LIMIT = 1024
 PACK_TOKENS, PACK_END_ID = 2048, 0
+RUN_WORDS, RUN_TIMES = 24, 3
 WEIGHTS = (5.0, 2.0, 1.0)
 NEIGHBOURS = 5
 #: Half of an item in a document tells a leak; reordered sentences of under 5 words are in no tile.
@@ -133,6 +135,40 @@ def op11_island_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def with_planted_periods(documents: DataFrame) -> DataFrame:
+    """doc_id, text, where a tenth of the texts repeat some of their words up to their end."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.expr(r"filter(split(text, '[\\x20\\x09-\\x0D]+', -1), w -> w <> '')")
+    rows = documents.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("words"))
+    rows = rows.withColumns({"n": F.size("words"), "g": F.expr("h div 10")})
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, F.expr("int(g % n)")))
+    rows = rows.withColumn("p", F.expr("int(1 + (n - a) div (3 + g % 8))"))
+    # The period stands up to eleven times in what is left.
+    tail = F.expr("slice(flatten(array_repeat(slice(words, a + 1, p), int(ceil((n - a) / p)))), 1, n - a)")
+    planted = F.array_join(F.concat(F.expr("slice(words, 1, a)"), tail), " ")
+    return rows.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of words of every document, and what is left without repeated periods."""
+    documents = with_planted_periods(table(spark, folder, "documents"))
+    found = periodic_runs.find_runs(documents, RUN_WORDS, RUN_TIMES)
+    line = F.transform("runs", lambda r: F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]))
+    lines = F.concat(F.array_join(line, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    # Quotients of whole numbers below 2**26 are equal as doubles only if they are equal.
+    best = F.expr("array_max(transform(runs, r -> struct(r.length / r.period as share, -r.start as start, -r.period as period, r.length)))")
+    return found.select("doc_id", "runs", "collapsed", lines.alias("lines"), best.alias("best")).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -147,5 +183,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_hash_mixture,
         op10_token_counts,
         op11_island_packing,
+        op12_periodic_runs,
     )
 }
