@@ -15,6 +15,7 @@ from orelode.llm import (
     hash_mixture,
     html_layout,
     island_packing,
+    merkle_manifest,
     periodic_runs,
     string_tiling,
     suffix_repeats,
@@ -169,6 +170,19 @@ def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Digest, proof and check of every document; a seventh of them claim another number of characters."""
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    documents = table(spark, folder, "documents").select(*columns)
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    n_chars = F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    claimed = merkle_manifest.leaf_hash([n_chars if c == "n_chars" else F.col(c) for c in columns])
+    leaf = merkle_manifest.leaf_hash([F.col(c) for c in columns])
+    rows = documents.select("doc_id", "lang", leaf.alias("leaf"), claimed.alias("claimed"))
+    audit = merkle_manifest.audit(merkle_manifest.build(rows, "lang", "doc_id"), "claimed")
+    return audit.select("carried.doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -184,5 +198,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_token_counts,
         op11_island_packing,
         op12_periodic_runs,
+        op13_merkle_manifest,
     )
 }
