@@ -90,19 +90,19 @@ _LEAF = "sha256({})".format(
 
 
 def _tree(name: str, leaves: str) -> str:
-    """All nodes of the trees over ``leaves`` (tree, at, n, hash, claimed), and what each leaf's claim leads to."""
-    return f"""{name}_nodes(level, tree, at, n, hash) as (
-  select 0, tree, at, n, hash from {leaves}
+    """All nodes of the trees over ``leaves`` (tree, place, n, hash, claimed), and what each leaf's claim leads to."""
+    return f"""{name}_nodes(level, tree, place, n, hash) as (
+  select 0, tree, place, n, hash from {leaves}
   union all
-  select level + 1, tree, at // 2, (n + 1) // 2, sha256(string_agg(hash, '' order by at))
-  from {name}_nodes where n > 1 group by level, tree, at // 2, n),
+  select level + 1, tree, place // 2, (n + 1) // 2, sha256(string_agg(hash, '' order by place))
+  from {name}_nodes where n > 1 group by level, tree, place // 2, n),
 {name}_all as materialized (select * from {name}_nodes),
-{name}_paths(level, tree, leaf_at, at, n, proof, folded) as (
-  select 0, tree, at, at, n, '', claimed from {leaves}
+{name}_paths(level, tree, leaf_at, place, n, proof, folded) as (
+  select 0, tree, place, place, n, '', claimed from {leaves}
   union all
-  select p.level + 1, p.tree, leaf_at, p.at // 2, (p.n + 1) // 2, proof || coalesce(s.hash, ''),
-         sha256(case when s.hash is null then folded when p.at % 2 = 1 then s.hash || folded else folded || s.hash end)
-  from {name}_paths p left join {name}_all s on s.level = p.level and s.tree is not distinct from p.tree and s.at = xor(p.at, 1)
+  select p.level + 1, p.tree, leaf_at, p.place // 2, (p.n + 1) // 2, proof || coalesce(s.hash, ''),
+         sha256(case when s.hash is null then folded when p.place % 2 = 1 then s.hash || folded else folded || s.hash end)
+  from {name}_paths p left join {name}_all s on s.level = p.level and s.tree is not distinct from p.tree and s.place = xor(p.place, 1)
   where p.n > 1),
 {name}_ends as materialized (select tree, leaf_at, proof, folded from {name}_paths where n = 1)"""
 
@@ -116,25 +116,25 @@ hashed as (
 leaves as materialized (
   select doc_id, lang as tree, {_LEAF.format(more="0")} as hash,
          {_LEAF.format(more="case when crc % 7 = 0 then 1 else 0 end")} as claimed,
-         row_number() over (partition by lang order by doc_id nulls first) - 1 as at, count(*) over (partition by lang) as n
+         row_number() over (partition by lang order by doc_id nulls first) - 1 as place, count(*) over (partition by lang) as n
   from hashed),
 {_tree("own", "leaves")},
 subroots as materialized (
-  select true as tree, tree as lang, hash, hash as claimed, row_number() over (order by tree nulls first) - 1 as at, count(*) over () as n
+  select true as tree, tree as lang, hash, hash as claimed, row_number() over (order by tree nulls first) - 1 as place, count(*) over () as n
   from own_all where n = 1),
 {_tree("top", "subroots")},
-folds(level, tree, leaf_at, at, n, folded) as (
-  select 0, e.tree, e.leaf_at, s.at, s.n, e.folded from own_ends e join subroots s on s.lang is not distinct from e.tree
+folds(level, tree, leaf_at, place, n, folded) as (
+  select 0, e.tree, e.leaf_at, s.place, s.n, e.folded from own_ends e join subroots s on s.lang is not distinct from e.tree
   union all
-  select f.level + 1, f.tree, leaf_at, f.at // 2, (f.n + 1) // 2,
-         sha256(case when s.hash is null then folded when f.at % 2 = 1 then s.hash || folded else folded || s.hash end)
-  from folds f left join top_all s on s.level = f.level and s.at = xor(f.at, 1) where f.n > 1)
+  select f.level + 1, f.tree, leaf_at, f.place // 2, (f.n + 1) // 2,
+         sha256(case when s.hash is null then folded when f.place % 2 = 1 then s.hash || folded else folded || s.hash end)
+  from folds f left join top_all s on s.level = f.level and s.place = xor(f.place, 1) where f.n > 1)
 select l.doc_id, l.hash as leaf, o.hash as subroot, r.hash as root, sha256(e.proof || t.proof) as proof_sha256,
        f.folded as folded_root, f.folded = r.hash as verified
 from leaves l join subroots o on o.lang is not distinct from l.tree
-  join own_ends e on e.tree is not distinct from l.tree and e.leaf_at = l.at
-  join top_ends t on t.leaf_at = o.at
-  join folds f on f.tree is not distinct from l.tree and f.leaf_at = l.at and f.n = 1
+  join own_ends e on e.tree is not distinct from l.tree and e.leaf_at = l.place
+  join top_ends t on t.leaf_at = o.place
+  join folds f on f.tree is not distinct from l.tree and f.leaf_at = l.place and f.n = 1
   cross join (select hash from top_all where n = 1) r"""
 
 ORACLES = {"op2_tensor_minhash": OP2, "op7_vantage_trees": OP7, "op9_hash_mixture": OP9, "op13_merkle_manifest": OP13}
