@@ -90,18 +90,17 @@ def keep_one(df: DataFrame, size: int = 5, share: int = 80, doc: str = "doc_id",
 
 def _components(df: DataFrame, nodes: DataFrame, size: int, share: int, doc: str, text: str) -> DataFrame:
     """node, component of the classes with links."""
-    keys = nodes.select("node", "v", F.explode("u").alias("a")).select("node", "a", F.explode("v").alias("b"))
-    keys = keys.select("node", F.xxhash64("a", "b").alias("key"))
-    leaders = keys.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1")
-    members = keys.join(stage(leaders.select("key", "leader"), "leaders"), "key").where("node <> leader")
-    pairs = stage(members.select("node", "leader").distinct(), "pairs")
+    pairs = stage(_met(nodes.withColumn("component", F.col("node"))).distinct(), "pairs")
     texts = _texts(df, nodes, pairs, size, doc, text)
 
     lowest = pairs.groupBy("node").agg(F.min("leader").alias("leader"))
     tested = stage(_compare(lowest, texts, size, share), "compared")
     links = tested.where("linked").selectExpr("node as a", "leader as b")
     found = components(links)
-    others = _apart(pairs.join(tested, ["node", "leader"], "left_anti"), found)
+    # The buckets are made again, of classes that met any, as labels are looked up once per class and not once per pair.
+    some = pairs.select("node").union(pairs.select("leader")).distinct()
+    named = stage(_labelled(nodes.join(some, "node", "left_semi"), found, "node").withColumnRenamed("node_component", "component"), "named")
+    others = _met(named).distinct().join(tested, ["node", "leader"], "left_anti")
     tested = tested.unionByName(stage(_compare(others, texts, size, share), "compared"))
     links = tested.where("linked").selectExpr("node as a", "leader as b")
     found = components(links)
@@ -120,6 +119,29 @@ def _components(df: DataFrame, nodes: DataFrame, size: int, share: int, doc: str
     return found if new.isEmpty() else components(links.unionByName(new))
 
 
+def _met(nodes: DataFrame) -> DataFrame:
+    """node, leader of each class (node, component, u, v) and the lowest in one of its buckets, if their components differ.
+
+    The keys are shuffled once; buckets follow each other, each with its leader first, and none is held as a whole.
+    """
+    keys = nodes.select("node", "component", "v", F.explode("u").alias("a")).select("node", "component", "a", F.explode("v").alias("b"))
+    keys = keys.select(F.xxhash64("a", "b").alias("key"), "node", "component")
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = np.zeros((3, 0), np.int64)
+        for batch in batches:
+            rows = np.concatenate([last, np.stack([c.to_numpy() for c in batch.columns])], axis=1)
+            key, node, component = rows
+            first = np.concatenate([[True], key[1:] != key[:-1]])
+            leader = np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))
+            apart = component != component[leader]
+            # The leader of the last bucket goes on to the next batch.
+            last = rows[:, leader[-1:]]
+            yield pa.RecordBatch.from_arrays([pa.array(node[apart]), pa.array(node[leader[apart]])], names=["node", "leader"])
+
+    return keys.repartition("key").sortWithinPartitions("key", "node").mapInArrow(meet, "node long, leader long")
+
+
 def _hopeful(members: DataFrame, texts: DataFrame, size: int, share: int) -> DataFrame:
     """node, leader (the smaller) of the pairs in one group and two components that may be linked.
 
