@@ -45,7 +45,7 @@ select query_id, cast(r as integer) as rank, vec_id, round(score, 12) as score f
 
 OP9 = r"""with recursive docs as materialized (
   select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size,
-         cast(('0x' || substr(md5(coalesce(cast(doc_id as varchar), '')), 1, 9)) as bigint) as number
+         cast(('0x' || substr(md5(coalesce(cast(doc_id as varchar), '') || ':' || md5(coalesce(text, ''))), 1, 9)) as bigint) as number
   from documents),
 sources as materialized (
   select source, cast(sum(size) as bigint) as source_size,

@@ -71,6 +71,39 @@ def test_rows_are_repeated(documents):
     assert seen == {d: c for d, c in copies.items() if c}
 
 
+ALIKE = [
+    [(7, "ten words " * 5, None, "a")] * 100 + [(1000 + i, "w " * 10, None, "b") for i in range(60)],
+    [(7, f"text {i} " * 5, None, "a") for i in range(300)] + [(1000 + i, "w " * 10, None, None) for i in range(200)],
+    [(None, f"text {i} " * (i % 9), None, "a") for i in range(300)] + [(None, "w " * 10, None, "c")] * 150 + [(1, "w " * 3, None, "d")] * 40,
+    [(3, "w " * 10, None, s) for s in ("a", "b", None) for _ in range(1000)],
+]
+
+
+@pytest.mark.parametrize("data", ALIKE)
+def test_rows_that_share_ids_come_near_the_target(documents, data):
+    df = documents(data)
+    most = max(len(t.split()) for _, t, _, _ in data)
+    out = hash_mixture.mix(df).collect()
+    assert len(out) == len(data)
+    taken: dict = {}
+    for r in out:
+        taken[r.source] = taken.get(r.source, 0) + r.copies * r["size"]
+    assert all(abs(taken[r.source] - r.target) <= most and 0 <= r.copies <= 3 for r in out)
+    repeated: dict = {}
+    for r in hash_mixture.repeat_rows(df).collect():
+        repeated[r.source] = repeated.get(r.source, 0) + len(r.text.split())
+    assert repeated == {s: n for s, n in taken.items() if n}
+    again = sorted((r.source or "", r["size"], r.copies) for r in hash_mixture.mix(documents(data[::-1], 7)).collect())
+    assert again == sorted((r.source or "", r["size"], r.copies) for r in out)
+
+
+def test_columns_of_clashing_names(spark):
+    names = ["doc_id", "text", "source", "row", "copies", "number", "size", "of", "col", "boundary", "held", "own", "target"]
+    df = spark.createDataFrame([(i, "a b", "s", *range(10)) for i in range(20)], names)
+    out = hash_mixture.repeat_rows(df)
+    assert out.columns == names and out.count() == 20
+
+
 def test_main_path_has_no_python(documents):
     plan = hash_mixture.mix(documents(rows(50, ["a", "b"], 1)))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
