@@ -30,18 +30,19 @@ select docs.doc_id, coalesce(n, 0) as n_shingles, least(docs.doc_id, coalesce(m,
        docs.doc_id <= coalesce(m, docs.doc_id) as kept
 from docs left join sizes on docs.doc_id = sizes.doc_id left join lowest on docs.doc_id = lowest.doc_id"""
 
+_DOT = "list_reduce(list_transform(range(1, len({0}) + 1), lambda i: {0}[i] * {1}[i]), lambda s, x: s + x)"
+
 OP7 = f"""with {_UNIT},
+numbered as (select vec_id, v, row_number() over () as number, sqrt({_DOT.format("v", "v")}) as norm from usable),
 scored as (
-  select q.vec_id as query_id, c.vec_id,
-         list_dot_product(q.v, c.v)
-           / (sqrt(list_dot_product(q.v, q.v)) * sqrt(list_dot_product(c.v, c.v))) as score
-  from usable q join usable c on q.vec_id <> c.vec_id
+  select q.number, q.vec_id as query_id, c.vec_id, {_DOT.format("q.v", "c.v")} / (q.norm * c.norm) as score
+  from numbered q join numbered c on q.number <> c.number
   where q.vec_id % 50 = 0),
 ranked as (
   select query_id, vec_id, score,
-         row_number() over (partition by query_id order by score desc, vec_id) as r
+         row_number() over (partition by number order by score desc, vec_id) as r
   from scored)
-select query_id, cast(r as integer) as rank, vec_id, round(score, 12) as score from ranked where r <= 5"""
+select query_id, cast(r as integer) as rank, vec_id, score from ranked where r <= 5"""
 
 OP9 = r"""with recursive docs as materialized (
   select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size,

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orelode.sources.staging import stage
+
 LEAF = 64
 #: Vectors of a shard, queries that one task puts to a shard, and those that walk its tree together.
 SHARD_ROWS, QUERY_ROWS, WALK_ROWS = 8192, 8192, 512
@@ -110,9 +112,15 @@ def distance_slack(width: int) -> float:
 
 
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Cosine of each pair of rows in double precision, summed alike for every pair."""
-    products = (a * b).sum(-1)
-    return products / (np.sqrt((a * a).sum(-1)) * np.sqrt((b * b).sum(-1)))
+    """Cosine of each pair of rows in double precision, summed from the first component to the last."""
+    return _dots(a, b) / (np.sqrt(_dots(a, a)) * np.sqrt(_dots(b, b)))
+
+
+def _dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    total = np.zeros(len(a))
+    for x, y in zip(a.T, b.T, strict=True):
+        total += x * y
+    return total
 
 
 def nearest(
@@ -125,8 +133,10 @@ def nearest(
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id and score of the ``k`` rows of ``df`` nearest to each query.
 
-    Rows with the query's own key are no candidates. Ties go to the smaller key, and a
-    repeated row counts as often as it is there. Null keys, and vectors that are null,
+    A query's own row is no candidate: of the rows with its key and exactly its direction one
+    is left out, other rows of its key stay. Ties go to the smaller key, and a repeated row
+    counts as often as it is there, among the candidates and (with the same query_id) among
+    the queries. Null keys, and vectors that are null,
     empty, zero or hold a null or non-finite component, take no part, neither do
     candidates of another length than the query's. All candidates are returned if they
     are fewer than ``k``; no candidates or no queries give no rows.
@@ -134,8 +144,8 @@ def nearest(
     Shards hold about SHARD_ROWS rows each and blocks about QUERY_ROWS queries. Every
     block meets every shard in a task of its own, which returns ``k`` rows per query.
     """
-    spark = df.sparkSession
-    index, asked = _usable(df, key, vector), _usable(queries, key, vector)
+    # Rows are dealt by numbers that are written once, so a task that is run again deals them alike.
+    index, asked = (stage(_usable(d, key, vector).withColumn("number", F.monotonically_increasing_id()), "vectors") for d in (df, queries))
     shards = max(1, -(-index.count() // SHARD_ROWS))
     blocks = max(1, -(-asked.count() // QUERY_ROWS))
     index = index.withColumn("shard", _dealt(shards)).withColumn("block", _each(blocks))
@@ -145,17 +155,20 @@ def nearest(
         return search_shard(rows, queries_, k, factor) if len(rows) else _EMPTY
 
     partial = index.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(
-        answer, "query_id long, vec_id long, score double"
+        answer, "asked long, query_id long, vec_id long, score double, own boolean"
     )
-    # k rows per query and shard.
-    rank = F.expr("row_number() over (partition by query_id order by score desc, vec_id)")
-    ranked = partial.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    # k + 1 rows per query and shard; the first of the rows that may be the query's own goes.
+    place = F.expr("row_number() over (partition by asked order by score desc, vec_id)")
+    ranked = partial.withColumn("place", place)
+    ranked = ranked.withColumn("mine", F.expr("min(case when own then place end) over (partition by asked)"))
+    rank = F.expr("place - case when mine < place then 1 else 0 end").cast("int")
+    ranked = ranked.where("mine is null or mine <> place").withColumn("rank", rank)
+    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def search_shard(rows: pd.DataFrame, queries: pd.DataFrame, k: int, factor: float) -> pd.DataFrame:
-    """The k nearest rows of one shard to each query of a block, as (query_id, vec_id, score)."""
-    out = [_EMPTY]
+    """The k + 1 rows of one shard nearest to each query of a block, as (asked, query_id, vec_id, score, own)."""
+    k, out = k + 1, [_EMPTY]
     widths, asked_widths = (d["v"].map(len).to_numpy() for d in (rows, queries))
     for width in np.intersect1d(widths, asked_widths):
         part, asked = rows[widths == width], queries[asked_widths == width]
@@ -169,7 +182,6 @@ def search_shard(rows: pd.DataFrame, queries: pd.DataFrame, k: int, factor: floa
         def visit(here: np.ndarray, leaf: np.ndarray) -> np.ndarray:
             # The matrix product finds who can enter; only for these is the score computed as specified.
             hopeful = asked_unit[here] @ unit[leaf].T >= best[here, -1:] - SLACK
-            hopeful &= query_ids[here][:, None] != ids[leaf][None]
             some = np.flatnonzero(hopeful.any(1))
             q, r = np.nonzero(hopeful[some])
             at = here[some]
@@ -188,20 +200,20 @@ def search_shard(rows: pd.DataFrame, queries: pd.DataFrame, k: int, factor: floa
             walking = np.arange(i, min(i + WALK_ROWS, len(y)))
             tree.search(asked_unit[walking], factor, lambda here, leaf, own=walking: visit(own[here], leaf))
         held = np.isfinite(best)
-        out.append(
-            pd.DataFrame({"query_id": np.repeat(query_ids, k)[held.ravel()], "vec_id": best_ids[held], "score": best[held]})
-        )
+        own = (best_ids == query_ids[:, None]) & (best == cosines(y, y)[:, None])
+        columns = {"asked": np.repeat(asked["number"].to_numpy(), k)[held.ravel()], "query_id": np.repeat(query_ids, k)[held.ravel()]}
+        out.append(pd.DataFrame({**columns, "vec_id": best_ids[held], "score": best[held], "own": own[held]}))
     return pd.concat(out)
 
 
 _EMPTY = pd.DataFrame(
-    {"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")}
+    {c: pd.Series(dtype=t) for c, t in (("asked", "int64"), ("query_id", "int64"), ("vec_id", "int64"), ("score", "float64"), ("own", "bool"))}
 )
 
 
 def _dealt(parts: int) -> Column:
-    """One of ``parts`` at random; also by the row's place, since a key may be repeated without bound."""
-    return F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(parts)).cast("int")
+    """One of ``parts`` by the row's number, since a key may be repeated without bound."""
+    return F.pmod(F.xxhash64("number"), F.lit(parts)).cast("int")
 
 
 def _each(parts: int) -> Column:

@@ -12,7 +12,7 @@ from orelode.llm import vantage_trees
 def expected(rows, queries, k):
     out = set()
     for q, v in queries:
-        scored = [(-float(vantage_trees.cosines(np.array(v, float), np.array(w, float))), i) for i, w in rows if i != q]
+        scored = [(-float(vantage_trees.cosines(np.array([v], float), np.array([w], float))[0]), i) for i, w in rows if i != q]
         out |= {(q, r + 1, i, round(-s, 10)) for r, (s, i) in enumerate(sorted(scored)[:k])}
     return out
 
@@ -81,8 +81,29 @@ def test_equal_vectors_keep_the_smallest_ids(monkeypatch, leaf):
         x = rng.normal(size=(500, width))
         x[:400] = x[0]
         ids = rng.permutation(500)
-        rows = pd.DataFrame({"id": ids, "v": list(x)})
+        rows = pd.DataFrame({"id": ids, "v": list(x), "number": range(500)})
         for at in range(0, 400, 10):
             found = vantage_trees.search_shard(rows, rows.iloc[at : at + 1], 5, 1.0)
             own = sorted(set(ids[:400]) - {ids[at]})[:5]
+            assert found.loc[found["own"], "vec_id"].tolist() in ([], [ids[at]])
+            found = found[~found["own"]][:5]
             assert found["vec_id"].tolist() == own and np.allclose(found["score"], 1)
+
+
+@pytest.mark.parametrize(("shard", "block"), [(8192, 512), (20, 3)])
+def test_repeated_queries_and_candidates(spark, monkeypatch, shard, block):
+    """Ranks of every query row over every row but itself, by trying all."""
+    monkeypatch.setattr(vantage_trees, "SHARD_ROWS", shard)
+    monkeypatch.setattr(vantage_trees, "QUERY_ROWS", block)
+    rng = np.random.default_rng(4)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(60, 3)).astype(np.float32).astype(float))]
+    rows += [rows[0], rows[0], (0, [1.0, 2.0, 3.0]), (10, [2 * v for v in rows[10][1]]), *[(7, rows[20][1])] * 8, rows[20]]
+    asked = [n for n, (i, _) in enumerate(rows) if i % 10 == 0]
+    wanted = []
+    for n in asked:
+        own = np.array(rows[n][1])
+        scored = [(-float(vantage_trees.cosines(own[None], np.array(v)[None])[0]), i) for m, (i, v) in enumerate(rows) if m != n]
+        wanted += [(rows[n][0], r + 1, i, -s) for r, (s, i) in enumerate(sorted(scored)[:5])]
+    frame = spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id long, embedding array<float>, number string, own int")
+    out = vantage_trees.nearest(frame, frame.where("vec_id % 10 = 0")).collect()
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in out) == sorted(wanted)
