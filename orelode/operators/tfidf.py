@@ -17,11 +17,15 @@ The idf table is written to the shared folder, not cached.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orelode.functions.sparse import counted
 from orelode.functions.text import DEFAULT_BUCKETS, check_buckets, split_tokens, term_bucket
 from orelode.sources.staging import discard, stage
 
@@ -57,6 +61,41 @@ def hashed_term_frequency(
     return _frequencies(docs, doc_id, hashed, "bucket")
 
 
+def hashed_vectors(
+    docs: DataFrame,
+    buckets: int = DEFAULT_BUCKETS,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    strip_trailing: bool = False,
+) -> DataFrame:
+    """(doc_id, features): hashed term frequencies as a sparse vector. Narrow; a null text has no terms."""
+    size = check_buckets(buckets)
+    hashed = F.transform(split_tokens(F.col(text), strip_trailing), lambda t: term_bucket(t, buckets))
+    return docs.select(doc_id, counted(size, hashed).alias("features"))
+
+
+def sparse_idf(vectors: DataFrame, features: str = "features", min_doc_freq: int = 0) -> np.ndarray:
+    """The inverse document frequency of every attribute of a column of vectors; a row is a document.
+
+    One row per stored attribute comes back; the result has as many numbers as a vector has attributes.
+    """
+    sizes = vectors.agg(F.count("*").alias("n"), F.max(f"{features}.size").alias("size")).first()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places, n = np.unique(batch.column(0).drop_null().field("indices").flatten().to_numpy(), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(n)], names=["place", "n"])
+
+    # A filter on the vectors would be pushed below what they are computed from, and compute it again.
+    held = vectors.select(features).mapInArrow(count, "place int, n long")
+    table = held.groupBy("place").agg(F.sum("n").alias("df"))
+    found = inverse_document_frequency(table, sizes.n, min_doc_freq, "place").toArrow()
+    # What no document has gets the value of df = 0.
+    idf = np.full(sizes.size or 0, np.log(sizes.n + 1.0) if min_doc_freq <= 0 else 0.0)
+    idf[found.column("place").to_numpy()] = found.column("idf").to_numpy()
+    return idf
+
+
 def document_frequency(tf: DataFrame, key: str = "term") -> DataFrame:
     """(term, df): in how many documents each term occurs.
 
@@ -94,27 +133,36 @@ class IdfModel:
 
     def transform(self, tf: DataFrame) -> DataFrame:
         """(doc_id, term, tf, weight) with ``weight = tf * idf``."""
-        columns = [*tf.columns, (F.col("tf") * F.col("idf")).alias("weight")]
-        weights = self.table.select(self.key, "idf")
-        if self.table_bytes <= broadcast_limit(tf):
-            return tf.join(F.broadcast(weights), self.key).select(*columns)
-        hot = F.col("df") > F.lit(self.n_pairs // HOT_SHARE)
-        hot_weights = self.table.filter(hot).select(*self._lookup(), "idf")
-        rare_weights = self.table.filter(~hot).select(self.key, "idf")
-        tagged = tf.select("*", *self._lookup()).join(F.broadcast(hot_weights), ["__long", "__key"], "left")
-        hot_pairs = tagged.filter(F.col("idf").isNotNull()).select(*columns)
-        rare_tf = tagged.filter(F.col("idf").isNull()).select(*tf.columns)
-        rare_pairs = rare_tf.join(rare_weights.hint("merge"), self.key).select(*columns)
-        return hot_pairs.unionByName(rare_pairs)
+        weight = (F.col("tf") * F.col("idf")).alias("weight")
+        return look_up(tf, self.table, self.key, "idf", self.n_pairs, self.table_bytes).select(*tf.columns, weight)
 
     def release(self) -> None:
         discard(self.table)
 
-    def _lookup(self) -> list[Column]:
-        """The term, or its digest if it is long."""
-        text = F.col(self.key).cast("string")
-        long = F.octet_length(text) > LONG_TERM_BYTES
-        return [long.alias("__long"), F.when(long, F.sha2(text.cast("binary"), 256)).otherwise(text).alias("__key")]
+
+def look_up(tf: DataFrame, table: DataFrame, key: str, value: str, n_pairs: int, table_bytes: int) -> DataFrame:
+    """``tf`` with the column ``value`` of the table's row of the same key; pairs of other keys drop out.
+
+    ``table`` has key, df (pairs of the key) and value, staged, and ``table_bytes`` in all. A
+    table below the broadcast limit is broadcast, else the rows of hot keys are.
+    """
+    columns = [*tf.columns, value]
+    if table_bytes <= broadcast_limit(tf):
+        return tf.join(F.broadcast(table.select(key, value)), key).select(*columns)
+    hot = F.col("df") > F.lit(n_pairs // HOT_SHARE)
+    hot_rows = table.filter(hot).select(*_lookup(key), value)
+    rare_rows = table.filter(~hot).select(key, value)
+    tagged = tf.select("*", *_lookup(key)).join(F.broadcast(hot_rows), ["__long", "__key"], "left")
+    hot_pairs = tagged.filter(F.col(value).isNotNull()).select(*columns)
+    rare_tf = tagged.filter(F.col(value).isNull()).select(*tf.columns)
+    return hot_pairs.unionByName(rare_tf.join(rare_rows.hint("merge"), key).select(*columns))
+
+
+def _lookup(key: str) -> list[Column]:
+    """The term, or its digest if it is long."""
+    text = F.col(key).cast("string")
+    long = F.octet_length(text) > LONG_TERM_BYTES
+    return [long.alias("__long"), F.when(long, F.sha2(text.cast("binary"), 256)).otherwise(text).alias("__key")]
 
 
 def fit_idf(tf: DataFrame, n_docs: int, min_doc_freq: int = 0, key: str = "term") -> IdfModel:

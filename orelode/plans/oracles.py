@@ -295,6 +295,71 @@ tf as materialized (
 
 
 
+_PAIRED = """pairs as (
+  select a.doc_id, b.doc_id as other_id from documents a join documents b on a.doc_id // 2 = b.doc_id),
+dots as (
+  select p.doc_id, sum(x.tf * y.tf) as dot from pairs p join tf x on x.doc_id = p.doc_id
+  join tf y on y.doc_id = p.other_id and y.bucket = x.bucket group by p.doc_id),
+squares as (select doc_id, sum(tf * tf) as sq from tf group by doc_id)"""
+
+
+def _sparse_passes(passes: int) -> str:
+    """Centres and assignments of the documents' hashed TF-IDF, pass by pass."""
+    parts = [
+        f"""{hashed_tf(BUCKETS)}, {idf_cte('tf', 'bucket')},
+w as materialized (select doc_id, bucket, tf * idf as x from tf join idf using (bucket)),
+own as materialized (select doc_id, sum(x * x) as sq from w group by doc_id),
+firsts as (select doc_id, row_number() over (order by doc_id) - 1 as j from documents order by doc_id limit 4),
+c0 as materialized (select j, bucket, x from w join firsts using (doc_id))"""
+    ]
+    for i in range(passes + 1):
+        parts.append(
+            f"""d{i} as materialized (
+  select own.doc_id, firsts.j, own.sq + coalesce(s.sq, 0) - 2 * coalesce(p.dot, 0) as d
+  from own cross join firsts left join (select j, sum(x * x) as sq from c{i} group by j) s on s.j = firsts.j
+  left join (select w.doc_id, c.j, sum(w.x * c.x) as dot from w join c{i} c using (bucket) group by 1, 2) p
+    on p.doc_id = own.doc_id and p.j = firsts.j),
+a{i} as materialized (
+  select doc_id, j, d from (select *, row_number() over (partition by doc_id order by d, j) as r from d{i}) where r = 1),
+n{i} as materialized (select j, count(*) as n from a{i} group by j)"""
+        )
+        if i < passes:
+            parts.append(
+                f"""c{i + 1} as materialized (
+  select a.j, bucket, sum(x) / max(n) as x from w join a{i} a using (doc_id) join n{i} n on n.j = a.j group by a.j, bucket
+  union all select j, bucket, x from c{i} where j not in (select j from n{i}))"""
+            )
+    return ",\n".join(parts)
+
+
+def _text_model(terms: str, key: str, attributes: str) -> str:
+    """Naive Bayes of the documents' languages over ``terms`` (doc_id, key, tf)."""
+    return f"""{terms},
+drawn as materialized (select * from {with_uniform('documents', ['doc_id'], SEED)} where lang is not null),
+training as materialized (select doc_id, lang from drawn where {TRAIN}),
+test as materialized (select doc_id from drawn where not ({TRAIN})),
+sums as materialized (select lang, {key}, sum(tf) as s from tf join training using (doc_id) group by lang, {key}),
+wholes as (select lang, sum(s) as whole from sums group by lang),
+sizes as (select lang, count(*) as n from training group by lang),
+classes as materialized (
+  select lang, ln((n + 1.0::double) / ((select sum(n) from sizes) + (select count(*) from sizes))) as pi,
+         ln(1.0::double / (coalesce(whole, 0) + ({attributes}))) as absent,
+         coalesce(whole, 0) + ({attributes}) as below
+  from sizes left join wholes using (lang))"""
+
+
+def _text_predictions(terms: str, key: str, attributes: str, known: str) -> str:
+    return f"""with {_text_model(terms, key, attributes)},
+counted as (select doc_id, sum(tf) as n from tf where {known} group by doc_id),
+scored as (
+  select t.doc_id, c.lang, c.pi + coalesce(k.n, 0) * c.absent + coalesce(h.s, 0) as score
+  from test t cross join classes c left join counted k using (doc_id)
+  left join (select tf.doc_id, s.lang, sum(tf.tf * ln(1.0::double + s.s)) as s from tf join sums s using ({key}) group by 1, 2) h
+    on h.doc_id = t.doc_id and h.lang = c.lang)
+select doc_id, lang as prediction
+from (select *, row_number() over (partition by doc_id order by score desc, lang) as place from scored) where place = 1"""
+
+
 def _first_round(k: int = 4) -> str:
     return f"""{ITEMS},
 first_one as materialized (
@@ -588,6 +653,34 @@ select doc_id, term, tf, round(tf * idf, 9) as weight from tf join idf using (te
 order by doc_id, term limit 100""",
     "tfidf_hashed": f"""with {hashed_tf(BUCKETS)}, {idf_cte('tf', 'bucket')}
 select doc_id, bucket, tf, round(tf * idf, 9) as weight from tf join idf using (bucket)""",
+    "dot_sparse": f"""with {hashed_tf(BUCKETS)}, {_PAIRED}
+select doc_id, other_id, cast(coalesce(dot, 0) as double) as dot from pairs left join dots using (doc_id)""",
+    "distance_sparse": f"""with {hashed_tf(BUCKETS)}, {_PAIRED}
+select p.doc_id, other_id, cast(coalesce(a.sq, 0) + coalesce(b.sq, 0) - 2 * coalesce(dot, 0) as double) as sq_distance
+from pairs p left join dots using (doc_id) left join squares a on a.doc_id = p.doc_id left join squares b on b.doc_id = other_id""",
+    "norm_sparse": f"""with {hashed_tf(BUCKETS)}
+select doc_id, round(sqrt(cast(sum(tf * tf) as double)), 8) as norm from tf group by doc_id""",
+    "col_summary_sparse": f"""with {hashed_tf(BUCKETS)},
+every_ as (
+  select cast(b as integer) as attribute, cast(coalesce(tf, 0) as double) as x
+  from documents cross join range({BUCKETS}) r(b) left join tf on tf.doc_id = documents.doc_id and tf.bucket = b)
+select attribute, count(*) as n, round(avg(x), 8) as mean, min(x) as min, max(x) as max, round(var_samp(x), 6) as variance
+from every_ group by attribute""",
+    "kmeans_tfidf": f"""with {_sparse_passes(PASSES)},
+stored as (
+  select a.j, bucket, count(*) as m, sum(x) as s, sum(x * x) as q, min(x) as low, max(x) as high
+  from w join a{PASSES} a using (doc_id) group by a.j, bucket)
+select cast(j as integer) as cluster, cast(bucket as integer) as attribute, n, round(s / n, 6) as mean,
+  round(case when m < n then least(low, 0) else low end, 6) as min,
+  round(case when m < n then greatest(high, 0) else high end, 6) as max,
+  round(sqrt(greatest(q - s * s / n, 0) / nullif(n - 1, 0)), 6) as stddev
+from stored join n{PASSES} using (j)""",
+    "kmeans_tfidf_assign": f"""with {_sparse_passes(PASSES)}
+select doc_id, cast(j as integer) as cluster, round(greatest(d, 0), 4) as sq_distance from a{PASSES}""",
+    "nb_text_train": f"""with {_text_model(TF, 'term', '(select count(distinct term) from sums)')}
+select lang as label, term, round(pi, 10) as pi, round(ln((s + 1.0::double) / below), 10) as theta from sums join classes using (lang)""",
+    "nb_text_predict": _text_predictions(TF, 'term', '(select count(distinct term) from sums)', 'term in (select term from sums)'),
+    "nb_text_hashed_predict": _text_predictions(hashed_tf(BUCKETS), 'bucket', str(BUCKETS), 'true'),
     "als_ratings": f'with {RATINGS} select "user", item, rating from ratings',
     "als_predict_coverage": _KNOWN_PAIRS,
     "als_normal_equations": f'with {RATINGS} select distinct "user", true as solved from ratings',

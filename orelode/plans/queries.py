@@ -8,13 +8,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orelode.functions.sparse import distance_sparse, dot_sparse, norm_sparse, scaled
 from orelode.functions.text import class_code, number_or_zero
 from orelode.functions.vectors import l2_norm, sq_distance
-from orelode.operators import als, kmeans, kmeans_start, naive_bayes, pca, sampling, summary, tfidf
+from orelode.operators import (
+    als,
+    kmeans,
+    kmeans_start,
+    naive_bayes,
+    naive_bayes_terms,
+    pca,
+    sampling,
+    sparse_rows,
+    summary,
+    tfidf,
+)
 from orelode.operators.partitions import persisted, spread
 from orelode.plans.inputs import (
     CENTERS,
@@ -424,6 +437,31 @@ def nb_model_roundtrip(spark, folder):
     return _differing(both, F.col("prediction") == F.col("prediction_2"))
 
 
+def _nb_texts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    docs = spread(table(spark, folder, "documents").select("doc_id", "lang", "text"), "doc_id").where("lang is not null")
+    return sampling.split_train_test(docs, TRAIN_SHARE, ["doc_id"], SEED)
+
+
+@query
+def nb_text_train(spark, folder):
+    """Parameters of the languages' terms."""
+    model = naive_bayes_terms.train(_nb_texts(spark, folder)[0], "lang")
+    return model.parameters().select("label", "term", rounded("pi", 10), rounded("theta", 10))
+
+
+@query
+def nb_text_predict(spark, folder):
+    training, test = _nb_texts(spark, folder)
+    return naive_bayes_terms.train(training, "lang").predict(test)
+
+
+@query
+def nb_text_hashed_predict(spark, folder):
+    """The same over hash buckets."""
+    training, test = _nb_texts(spark, folder)
+    return naive_bayes_terms.train(training, "lang", buckets=BUCKETS).predict(test)
+
+
 # Principal components -----------------------------------------------------------------
 
 
@@ -574,6 +612,66 @@ def tfidf_hashed(spark, folder):
     return _rounded_weights(tfidf.tfidf(documents(spark, folder), MIN_DOC_FREQ, buckets=BUCKETS))
 
 
+# Sparse vectors --------------------------------------------------------------------------
+
+
+def _hashed_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's hashed terms next to those of the document with half its number."""
+    own = tfidf.hashed_vectors(documents(spark, folder), BUCKETS)
+    other = own.select(F.col("doc_id").alias("other_id"), F.col("features").alias("other"))
+    return own.join(other, F.expr("doc_id div 2") == F.col("other_id"))
+
+
+@query
+def dot_sparse_(spark, folder):
+    return _hashed_pairs(spark, folder).select("doc_id", "other_id", dot_sparse("features", "other").alias("dot"))
+
+
+@query
+def distance_sparse_(spark, folder):
+    return _hashed_pairs(spark, folder).select("doc_id", "other_id", distance_sparse("features", "other").alias("sq_distance"))
+
+
+@query
+def norm_sparse_(spark, folder):
+    vectors = tfidf.hashed_vectors(documents(spark, folder), BUCKETS)
+    return vectors.select("doc_id", F.round(norm_sparse("features"), 8).alias("norm"))
+
+
+@query
+def col_summary_sparse(spark, folder):
+    """Statistics of every hash bucket's term frequency over all documents, 0 where it has none."""
+    report = sparse_rows.column_summary(tfidf.hashed_vectors(documents(spark, folder), BUCKETS), "features")
+    return report.select("attribute", "n", rounded("mean", 8), "min", "max", rounded("variance", 6))
+
+
+def _tfidf_clusters(spark: SparkSession, folder: str) -> tuple[DataFrame, sparse_rows.SparseKMeansRun]:
+    """Hashed TF-IDF vectors, and K-Means from those of the four smallest ids."""
+    vectors = tfidf.hashed_vectors(documents(spark, folder), BUCKETS)
+    idf = tfidf.sparse_idf(vectors, min_doc_freq=MIN_DOC_FREQ)
+    weights = vectors.select("doc_id", scaled("features", idf).alias("features"))
+    first = weights.orderBy("doc_id").limit(4).collect()
+    start = np.zeros((len(first), BUCKETS))
+    for center, row in zip(start, first, strict=True):
+        center[row.features["indices"]] = row.features["values"]
+    return weights, sparse_rows.lloyd(weights, "features", start, PASSES)
+
+
+@query
+def kmeans_tfidf(spark, folder):
+    """Patterns of documents clustered by their hashed TF-IDF."""
+    weights, run = _tfidf_clusters(spark, folder)
+    found = sparse_rows.patterns(weights, "features", run.model.centers)
+    numbers = [rounded(c, 6) for c in ("mean", "min", "max", "stddev")]
+    return found.select("cluster", "attribute", "n", *numbers)
+
+
+@query
+def kmeans_tfidf_assign(spark, folder):
+    weights, run = _tfidf_clusters(spark, folder)
+    return run.model.assign(weights).select("doc_id", "cluster", rounded("sq_distance", 4))
+
+
 # From file to file ---------------------------------------------------------------------
 
 
