@@ -81,7 +81,8 @@ def keep_one(df: DataFrame, size: int = 5, share: int = 80, doc: str = "doc_id",
     kept = stage(kept.withColumnsRenamed({"doc_id": "__doc", "class": "__kept"}), "kept")
     marked = _with_class(df, size, text)
     same = marked[doc].eqNullSafe(kept["__doc"]) & (marked["__class"] == kept["__kept"])
-    out = marked.join(kept, same, "left").where("__class is null or __kept is not null")
+    # Joins with whole texts are merge joins at every size, so the smallest table tells what the largest takes.
+    out = marked.join(kept.hint("merge"), same, "left").where("__class is null or __kept is not null")
     if not kept.where("count > 1").isEmpty():
         wordless, others = out.where("__class is null"), out.where("__class is not null")
         out = others.dropDuplicates([doc, "__class"]).unionByName(wordless)
@@ -239,7 +240,7 @@ def _texts(df: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, doc: st
     wanted = pairs.select("node").union(pairs.select("leader")).distinct().join(nodes.select("node", "doc_id", "class"), "node")
     wanted = stage(wanted, "wanted")
     docs = df.select(F.col(doc).cast("long").alias("__doc"), F.col(text).alias("text"))
-    held = docs.join(wanted, docs["__doc"].eqNullSafe(wanted["doc_id"])).select("node", "class", "text")
+    held = docs.join(wanted.hint("merge"), docs["__doc"].eqNullSafe(wanted["doc_id"])).select("node", "class", "text")
 
     # Rows of one id may be of several classes.
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,9 +257,9 @@ def _texts(df: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, doc: st
 
 def _compare(pairs: DataFrame, texts: DataFrame, size: int, share: int) -> DataFrame:
     """node, leader, linked of each pair, on the full sets."""
-    near = pairs.join(texts, "node")
+    near = pairs.join(texts.hint("merge"), "node")
     far = texts.selectExpr("node as leader", "text as other")
-    rows = near.join(far, "leader").select("node", "leader", "text", "other")
+    rows = near.join(far.hint("merge"), "leader").select("node", "leader", "text", "other")
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
