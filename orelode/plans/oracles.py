@@ -5,8 +5,10 @@ Only queries whose result SQL can express are here.
 
 from __future__ import annotations
 
+from orelode.operators.als import LAMBDA
 from orelode.plans.inputs import CENTERS, F4, KEY, SCALED, SEED, STEP_CENTERS
 from orelode.plans.queries import (
+    ALS_ROWS_ITERATIONS,
     ALS_SPARSE_SHARE,
     BUCKETS,
     HEADER,
@@ -295,6 +297,25 @@ tf as materialized (
 
 
 
+def _als_rows() -> str:
+    """Both sides' two factors: Cramer's rule for every owner in every half step."""
+    start = with_uniform(with_uniform('(select distinct "user" from ratings)', ['"user"'], SEED, 0, name="p"), ['"user"'], SEED, 1, name="q")
+    parts = [f'{RATINGS},\nu0 as materialized (select "user", p, q from {start})']
+
+    def half(name: str, own: str, other: str, given: str) -> str:
+        lam = double(LAMBDA)
+        return f"""{name} as materialized (
+  select {own}, (b1 * a22 - b2 * a12) / (a11 * a22 - a12 * a12) as p, (a11 * b2 - a12 * b1) / (a11 * a22 - a12 * a12) as q
+  from (select {own}, sum(p * p) + {lam} * count(*) as a11, sum(p * q) as a12, sum(q * q) + {lam} * count(*) as a22,
+               sum(rating * p) as b1, sum(rating * q) as b2
+        from ratings join {given} using ({other}) group by {own}))"""
+
+    for i in range(ALS_ROWS_ITERATIONS):
+        parts.append(half(f"i{i + 1}", "item", '"user"', f"u{i}"))
+        parts.append(half(f"u{i + 1}", '"user"', "item", f"i{i + 1}"))
+    return ",\n".join(parts)
+
+
 _PAIRED = """pairs as (
   select a.doc_id, b.doc_id as other_id from documents a join documents b on a.doc_id // 2 = b.doc_id),
 dots as (
@@ -682,6 +703,15 @@ select lang as label, term, round(pi, 10) as pi, round(ln((s + 1.0::double) / be
     "nb_text_predict": _text_predictions(TF, 'term', '(select count(distinct term) from sums)', 'term in (select term from sums)'),
     "nb_text_hashed_predict": _text_predictions(hashed_tf(BUCKETS), 'bucket', str(BUCKETS), 'true'),
     "als_ratings": f'with {RATINGS} select "user", item, rating from ratings',
+    "als_rows_train": f"""with {_als_rows()},
+sides as (select 'user' as side, "user" as id, p, q from u{ALS_ROWS_ITERATIONS}
+  union all select 'item', item, p, q from i{ALS_ROWS_ITERATIONS})
+select side, id, cast(0 as integer) as position, round(p, 5) as value from sides
+union all select side, id, cast(1 as integer), round(q, 5) from sides""",
+    "als_rows_predict": f"""with {_als_rows()}
+select "user", item, round(u.p * i.p + u.q * i.q, 4) as prediction
+from ratings join u{ALS_ROWS_ITERATIONS} u using ("user") join i{ALS_ROWS_ITERATIONS} i using (item)""",
+    "als_rows_equations": f'with {RATINGS} select distinct "user", true as solved from ratings',
     "als_predict_coverage": _KNOWN_PAIRS,
     "als_normal_equations": f'with {RATINGS} select distinct "user", true as solved from ratings',
     "als_predict_dot": f'with {RATINGS} select "user", item, true as same from ratings',

@@ -18,6 +18,7 @@ from orelode.functions.text import class_code, number_or_zero
 from orelode.functions.vectors import l2_norm, sq_distance
 from orelode.operators import (
     als,
+    als_rows,
     kmeans,
     kmeans_start,
     naive_bayes,
@@ -810,3 +811,41 @@ def als_model_roundtrip(spark, folder):
     loaded = storage.load_als(path)
     both = loaded.setPredictionCol("prediction_2").transform(model.transform(rated))
     return _differing(both, F.col("prediction") == F.col("prediction_2"))
+
+
+# Two numbers per user and item, so that SQL can repeat the training.
+ALS_ROWS_RANK, ALS_ROWS_ITERATIONS = 2, 2
+
+
+@query
+def als_rows_train(spark, folder):
+    """Factors by partial normal equations."""
+    model = als_rows.train(ratings(spark, folder), ALS_ROWS_RANK, ALS_ROWS_ITERATIONS, SEED)
+    return model.factors().select("side", "id", "position", rounded("value", 5))
+
+
+@query
+def als_rows_predict(spark, folder):
+    rated = ratings(spark, folder)
+    predictions = als_rows.train(rated, ALS_ROWS_RANK, ALS_ROWS_ITERATIONS, SEED).predict(rated)
+    return predictions.select("user", "item", rounded("prediction", 4))
+
+
+@query
+def als_rows_equations(spark, folder):
+    """Users whose vectors solve their equations, at the rank of the other ALS queries."""
+    rated = ratings(spark, folder)
+    model = als_rows.train(rated, ALS_RANK, ALS_ITERATIONS, SEED)
+    users = model.users.select(F.col("id").alias("user"), F.col("factors").alias("x"))
+    items = model.items.select(F.col("id").alias("item"), F.col("factors").alias("y"))
+    pairs = rated.join(users, "user").join(items, "item")
+    error = F.aggregate(F.zip_with("x", "y", lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v) - F.col("rating")
+    terms = pairs.select("user", "rating", "x", error.alias("e"), F.posexplode("y").alias("place", "yv"))
+    sums = terms.groupBy("user", "place").agg(
+        F.sum(F.col("e") * F.col("yv")).alias("fit"),
+        F.count("*").alias("n"),
+        F.first(F.get("x", F.col("place"))).alias("xv"),
+        F.sum(F.abs(F.col("rating") * F.col("yv"))).alias("scale"),
+    )
+    left = F.abs(F.col("fit") + F.lit(als.LAMBDA) * F.col("n") * F.col("xv")) <= 1e-8 * (F.col("scale") + 1)
+    return sums.groupBy("user").agg(F.min(left).alias("solved"))
