@@ -63,23 +63,30 @@ def parallel_round(
 
     About ``2 k`` rows come out on average, whatever the size of the input.
     """
-    wanted = [F.coalesce(F.sum(cost), F.lit(0.0))]
-    if key:
-        # Copies of a row may share a key, but not rows that differ.
-        wanted += [F.approx_count_distinct(F.struct(*key)), F.approx_count_distinct(F.struct(*key, cost))]
-    total, *distinct = costed.agg(*wanted).first()
-    if key and distinct[0] < MOSTLY_UNIQUE * distinct[1]:
-        raise ValueError(f"the key has about {distinct[0]} values for {distinct[1]} different rows")
+    total = costed.agg(F.coalesce(F.sum(cost), F.lit(0.0))).first()[0]
     if total <= 0.0:
         return costed.limit(0)
     probability = F.lit(2.0) * F.col(cost) * F.lit(float(k)) / F.lit(total)
     return sample_by_probability(costed, probability, key, seed, round_number)
 
 
+def check_key(df: DataFrame, features: Features, key: Key) -> None:
+    """Raise if rows that differ share keys: they would be drawn all or none. Copies of a row may share one."""
+    if not key:
+        return
+    columns = [features] if isinstance(features, str) else list(features)
+    counts = F.approx_count_distinct(F.struct(*key)), F.approx_count_distinct(F.struct(*key, *columns))
+    keys, rows = df.agg(*counts).first()
+    if keys < MOSTLY_UNIQUE * rows:
+        raise ValueError(f"the key has about {keys} values for {rows} different rows")
+
+
 def parallel_candidates(
     df: DataFrame, features: Features, k: int, steps: int, seed: int, key: Key = None
 ) -> Centers:
     """Distinct candidates after ``steps`` oversampling rounds: about ``1 + 2 k steps``."""
+    # Once, as the key is the same in every round.
+    check_key(df, features, key)
     candidates = first_center(df, features, seed, key)
     newest, costed = candidates, df
     for round_number in range(steps):

@@ -230,6 +230,11 @@ TOKENS = "tokens as materialized (select doc_id, unnest(string_split(text, ' '))
 TF = f"{TOKENS},\ntf as materialized (select doc_id, term, count(*) as tf from tokens group by doc_id, term)"
 
 
+_LINED = r"""lined as materialized (
+  select row_number() over (order by doc_id) - 1 as doc_id, rtrim(regexp_replace(text, '[\r\n]+', ' ', 'g')) as text from documents)"""
+_LINED_TOKENS = f"{_LINED},\ntokens as materialized (select doc_id, unnest(string_split(text, ' ')) as term from lined)"
+
+
 def idf_cte(source: str, key: str) -> str:
     return f"""idf as materialized (
   select {key}, df, case when df >= {MIN_DOC_FREQ}
@@ -702,6 +707,24 @@ select doc_id, cast(j as integer) as cluster, round(greatest(d, 0), 4) as sq_dis
 select lang as label, term, round(pi, 10) as pi, round(ln((s + 1.0::double) / below), 10) as theta from sums join classes using (lang)""",
     "nb_text_predict": _text_predictions(TF, 'term', '(select count(distinct term) from sums)', 'term in (select term from sums)'),
     "nb_text_hashed_predict": _text_predictions(hashed_tf(BUCKETS), 'bucket', str(BUCKETS), 'true'),
+    "nb_score_file": f"""with flowers as materialized (
+  select event_id, concat_ws(',', event_id, value, user_id, '1.5', value) as line, {FLOWER_NAME} as name,
+         [cast(value as double), cast(user_id as double), 1.5::double, cast(value as double)] as x
+  from events),
+labelled as (select *, case name when 'Iris-setosa' then 1e0 when 'Iris-versicolor' then 2e0 else 3e0 end as label from flowers),
+sums as materialized (
+  select label, count(*) as n, [sum(x[1]), sum(x[2]), sum(x[3]), sum(x[4])] as s, sum(list_sum(x)) as whole from labelled group by label),
+model as materialized (
+  select label, ln((n + 1e0) / ((select sum(n) from sums) + (select count(*) from sums))) as pi,
+         list_transform(s, lambda v: ln((v + 1e0) / (whole + 4))) as theta from sums)
+select line as value, label as prediction
+from (select line, m.label, row_number() over (partition by event_id order by m.pi + x[1] * m.theta[1] + x[2] * m.theta[2]
+        + x[3] * m.theta[3] + x[4] * m.theta[4] desc, m.label) as place from flowers cross join model m)
+where place = 1""",
+    "document_lines_file": f"with {_LINED} select doc_id, text from lined",
+    "tfidf_file": f"""with {hashed_tf(BUCKETS).replace(TOKENS, _LINED_TOKENS)}, {idf_cte('tf', 'bucket')}
+select doc_id, bucket, tf, round(tf * idf, 9) as weight from tf join idf using (bucket)""",
+    "als_score_file": 'select cast(l_suppkey as integer) as "user", cast(l_partkey as integer) as item from lineitem',
     "als_ratings": f'with {RATINGS} select "user", item, rating from ratings',
     "als_rows_train": f"""with {_als_rows()},
 sides as (select 'user' as side, "user" as id, p, q from u{ALS_ROWS_ITERATIONS}

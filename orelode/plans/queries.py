@@ -712,6 +712,47 @@ def matrix_statistics_file(spark, folder):
     return _rounded_summary(written)
 
 
+@query
+def nb_score_file(spark, folder):
+    """A model trained on one file scores another, whose lines come back with their class code."""
+    labelled = _file(flower_lines(spark, folder), ",".join(lines.FLOWER_COLUMNS), "labelled")
+    unlabelled = _file(flower_lines(spark, folder, with_class=False), ",".join(lines.FLOWER_COLUMNS[:5]), "unlabelled")
+    model, out = storage.work_path(spark, "naive-bayes"), storage.work_path(spark, "scored")
+    jobs.train_naive_bayes(spark, labelled, model, 1.0, SEED)
+    jobs.predict_naive_bayes(spark, unlabelled, model, out)
+    return spark.read.parquet(out)
+
+
+@query
+def document_lines_file(spark, folder):
+    """Documents read from a text file, with the numbers of their lines."""
+    return lines.read_documents(spark, _document_file(spark, folder))
+
+
+@query
+def tfidf_file(spark, folder):
+    """Hashed TF-IDF from a file of documents to its written result."""
+    out = storage.work_path(spark, "tfidf")
+    jobs.run_tfidf(spark, _document_file(spark, folder), out, BUCKETS, MIN_DOC_FREQ)
+    return _rounded_weights(spark.read.parquet(out))
+
+
+def _document_file(spark: SparkSession, folder: str) -> str:
+    """A document per line, without line breaks and trailing blanks, in order of their ids."""
+    text = F.rtrim(F.regexp_replace("text", "[\\r\\n]+", " "))
+    return _file(table(spark, folder, "documents").orderBy("doc_id").select(text.alias("value")), None, "documents")
+
+
+@query
+def als_score_file(spark, folder):
+    """Pairs of a file scored by a model that was trained on a file of ratings and saved."""
+    path = _file(rating_lines(spark, folder), None, "ratings")
+    model, out = storage.work_path(spark, "als"), storage.work_path(spark, "scored")
+    jobs.train_als(spark, path, model, 2, 2, SEED)
+    jobs.predict_als(spark, path, model, out)
+    return spark.read.parquet(out).select("user", "item")
+
+
 # Recommendation ------------------------------------------------------------------------
 
 

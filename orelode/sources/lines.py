@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orelode.functions.text import class_code, number, number_or_zero
+from orelode.sources.staging import stage
 
 # The layouts of the known files, in file order.
 ACTIVITY_COLUMNS = ("datetime", "CellID", "countrycode", "smsin", "smsout", "callin", "callout", "internet")
@@ -133,13 +134,25 @@ def read_matrix(spark: SparkSession, path: str, width: int | None = None) -> Dat
     return parse_matrix(read_lines(spark, path), width)
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, text), one document per line.
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(line_id, value): every line with its number, from 0, over all files in order of their paths.
 
-    ``doc_id`` numbers the lines by partition: unique within one evaluation of the
-    plan. Write the result, or what is derived from it, before joining it to itself.
+    Lines are counted per block of a file that a task reads, and the counts of the blocks before
+    are added, so the numbers are the same however the files are split. Text is read twice and
+    moved at most once; a row per block is sorted.
     """
-    return read_lines(spark, path).select(F.monotonically_increasing_id().alias("doc_id"), F.col("value").alias("text"))
+    text = spark.read.text(path)
+    block = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+    rows = text.select("value", *block, F.monotonically_increasing_id().alias("place"))
+    counts = rows.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("place").alias("least"))
+    before = "sum(n) over (order by file, block rows between unbounded preceding and current row) - n"
+    starts = stage(counts.selectExpr("file", "block", f"{before} - least as shift"), "line-starts")
+    return rows.join(starts, ["file", "block"]).select((F.col("place") + F.col("shift")).alias("line_id"), "value")
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """(doc_id, text), one document per line; ``doc_id`` is the number of the line."""
+    return numbered_lines(spark, path).withColumnsRenamed({"line_id": "doc_id", "value": "text"}).select("doc_id", "text")
 
 
 def _fields(lines: DataFrame, n: int, exactly: bool = False) -> DataFrame:

@@ -163,3 +163,20 @@ def test_lines_are_written_in_parallel_below_a_header_each(spark):
     assert sorted(int(r.value) for r in back.collect()) == list(range(90))
     empty = lines.read_lines(spark, queries._file(values.limit(0), "header", "headed"))
     assert lines.drop_header(empty).collect() == []
+
+
+def test_line_numbers_do_not_depend_on_splits(spark, tmp_path):
+    """Two files with lines of all lengths, empty ones among them, read in one and in many parts."""
+    for name, n in (("a", 700), ("b", 300)):
+        (tmp_path / f"{name}.txt").write_text("".join(f"{name}{i} " * (i % 7) + "\n" for i in range(n)))
+    expected = [f"{name}{i} " * (i % 7) for name, n in (("a", 700), ("b", 300)) for i in range(n)]
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    try:
+        for size in ("128m", "1000b", "333b"):
+            spark.conf.set(setting, size)
+            rows = lines.read_documents(spark, str(tmp_path)).collect()
+            assert [r.text for r in sorted(rows, key=lambda r: r.doc_id)] == expected
+            assert sorted(r.doc_id for r in rows) == list(range(1000))
+    finally:
+        spark.conf.set(setting, before)
