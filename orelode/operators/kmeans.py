@@ -186,9 +186,14 @@ def lloyd(
     centers: Centers,
     max_iter: int = 20,
     epsilon: float = 1e-4,
+    log: str | None = None,
 ) -> KMeansRun:
     """Iterate from the given centres until every one moves at most ``epsilon``.
 
+    With ``log``, a path in the shared folder, every pass is written there when it is done, and
+    a run that finds passes at the path goes on after the last one, on any driver. It must be given
+    the same rows, features and number of centres.
+
     Runs one Spark job per pass. Persist ``df`` first if it is costly to compute;
     a parquet input is as fast unpersisted, as each pass reads the feature
     columns only.
@@ -199,6 +204,19 @@ def lloyd(
     cells: list[Row] = []
     moves = [0.0] * len(current)
     iterations, converged, cost = 0, False, 0.0
+    if log is not None:
+        done = _last_pass(df.sparkSession, log)
+        if done:
+            iterations = done[0]["pass"]
+            width = max(r.pos for r in done) + 1
+            if len(done) != len(current) * width or width != len(current[0]):
+                raise ValueError(f"{log} holds passes of another number of centres or attributes")
+            for r in done:
+                current[r.cluster][r.pos] = r.center
+                moves[r.cluster] = r.move
+            cells = [_CELL_ROW(*r[4:]) for r in done if r.n is not None]
+            cost = sum(c.cost for c in cells if c.pos == 0)
+            converged = all(m <= epsilon * epsilon for m in moves)
     while iterations < max_iter and not converged:
         cells = _cells(df, features, current).collect()
         found = [list(c) for c in current]
@@ -209,9 +227,38 @@ def lloyd(
         converged = all(m <= epsilon * epsilon for m in moves)
         current = found
         iterations += 1
+        if log is not None:
+            _log_pass(df.sparkSession, log, iterations, current, moves, cells)
     return KMeansRun(KMeansModel(features, current), cells, iterations, converged, cost, moves)
 
 
+_LOGGED = f"pass int, center double, move double, empty boolean, {_CELL}"
+_CELL_ROW = Row(*[c.split()[0] for c in _CELL.split(", ")])
+
+
+def _log_pass(spark: SparkSession, path: str, number: int, centers: Centers, moves: list[float], cells: list[Row]) -> None:
+    """Append a pass: a row per cluster and attribute, without statistics for an empty cluster."""
+    known = {(c.cluster, c.pos): c for c in cells}
+    rows = [
+        (number, float(v), float(moves[j]), (j, pos) not in known, *(known.get((j, pos)) or (j, pos, *[None] * 6)))
+        for j, center in enumerate(centers)
+        for pos, v in enumerate(center)
+    ]
+    # A job that is committed whole or not at all.
+    spark.createDataFrame(rows, _LOGGED).coalesce(1).write.mode("append").parquet(path)
+
+
+def _last_pass(spark: SparkSession, path: str) -> list[Row]:
+    """The rows of the last pass at the path, none if there is nothing."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+        return []
+    passes = spark.read.schema(_LOGGED).parquet(path)
+    last = passes.agg(F.max("pass")).first()[0]
+    # Clusters x attributes rows; a driver that died between writing and telling may have written a pass twice.
+    return sorted(passes.where(F.col("pass") == last).distinct().collect(), key=lambda r: (r.cluster, r.pos)) if last else []
+
+
 def train(
     df: DataFrame,
     features: Features,

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from orelode.functions.keyed import uniform
 
+#: Bits of a uniform, those counted in one scan, and rows of the last bucket, which is sorted.
+NUMBER_BITS, LEVEL_BITS, SMALL = 52, 13, 10_000
+
 Key = Sequence[str | Column] | None
 
 
@@ -39,6 +42,40 @@ def take_sample(df: DataFrame, n: int, key: Key, seed: int) -> DataFrame:
     return drawn.orderBy("__u").limit(n).drop("__u")
 
 
+def take_many(df: DataFrame, n: int, key: Sequence[str | Column], seed: int) -> DataFrame:
+    """The rows of ``take_sample``, for any ``n``: the threshold is found first, and then rows are only filtered.
+
+    The uniforms are counted by their first bits, the bucket that holds the n-th smallest by the
+    next bits, and so on until it has SMALL rows or no bits are left. Each count is one scan, combined
+    per task, of which 2**LEVEL_BITS rows come back. Only that last bucket is sorted. Rows that
+    share a key share a uniform, and any of them may be the ones taken; there must be few.
+    """
+    if not key:
+        raise ValueError("a large sample needs a key, as rows are drawn in several scans")
+    if n <= 0:
+        return df.limit(0)
+    number = (uniform(key, seed) * F.lit(float(2**NUMBER_BITS))).cast("long")
+    below, prefix, shift = 0, 0, NUMBER_BITS
+    while True:
+        inside = df.select(number.alias("number")).where(F.shiftright("number", shift) == prefix)
+        shift -= LEVEL_BITS
+        counts = inside.groupBy(F.shiftright("number", shift).alias("bucket")).count().collect()
+        for bucket, count in sorted(tuple(r) for r in counts):
+            if below + count >= n:
+                break
+            below += count
+        else:
+            return df
+        prefix = bucket
+        if count <= SMALL or not shift:
+            break
+    # A column of its own, computed once per row.
+    drawn = df.withColumn("__number", number)
+    bucket = F.shiftright("__number", shift)
+    last = drawn.where(bucket == prefix).orderBy("__number").limit(n - below)
+    return drawn.where(bucket < prefix).unionByName(last).drop("__number")
+
+
 def sample_by_probability(df: DataFrame, probability: Column, key: Key, *seed: int) -> DataFrame:
     """Keep each row with its own probability."""
     return df.filter(uniform(key, *seed) < probability)

@@ -564,6 +564,7 @@ from emb group by vec_id""",
     "split_train_test_sizes": f"""with {ITEMS}
 select case when {TRAIN} then 'train' else 'test' end as side, count(*) as n from {DRAWN} group by 1""",
     "take_sample": f"with {ITEMS} select {KEY_LIST}, {', '.join(F4)} from {DRAWN} order by u limit 50",
+    "take_sample_half": f"with {ITEMS} select {KEY_LIST} from {DRAWN} order by u limit (select count(*) // 2 from items)",
     "kmeans_assign": f"""with {ITEMS}, {centers_cte('c', CENTERS)}, {assign_cte('a', 'c')}
 select {KEY_LIST}, cast(j as integer) as cluster, round(d, 4) as sq_distance from a""",
     "kmeans_assign_array": f"""with {EMB}, {EMB_CENTERS}, {emb_assign('a', 'ec')}
@@ -586,6 +587,7 @@ both_ as (select c1.*, n, round(({distance('c1', 'c')}) / 1e6, 5) as moved_sq_m
 select j as cluster, cast(pos as varchar) as attribute, round(avg(x), 7) as center
 from a join emb using (vec_id) group by j, pos""",
     "kmeans_patterns": f"with {passes_ctes(PASSES)}\n{patterns(f'a{PASSES - 1}', ALL_METRICS)}",
+    "kmeans_resumed": f"with {passes_ctes(PASSES)}\n{patterns(f'a{PASSES - 1}', ALL_METRICS)}",
     "kmeans_patterns_selected": f"""with {passes_ctes(PASSES)}
 {patterns(f'a{PASSES - 1}', 'round(avg({f}), 5) as mean, max({f}) as max')}""",
     "kmeans_patterns_array": f"""with {EMB}, {EMB_CENTERS}, {emb_assign('a', 'ec')}

@@ -199,6 +199,13 @@ def take_sample(spark, folder):
     return sampling.take_sample(line_items(spark, folder), 50, KEY, SEED)
 
 
+@query
+def take_sample_half(spark, folder):
+    """Half of the line items, as one draw that no task sorts."""
+    items = line_items(spark, folder).select(*KEY)
+    return sampling.take_many(items, items.count() // 2, KEY, SEED)
+
+
 # K-Means ---------------------------------------------------------------------------
 
 
@@ -298,6 +305,15 @@ def kmeans_patterns_empty(spark, folder):
     return _rounded_patterns(kmeans.patterns(line_items(spark, folder), F4, STEP_CENTERS))
 
 
+@query
+def kmeans_resumed(spark, folder):
+    """Patterns of a run that was stopped after its first pass and gone on with."""
+    items, log = line_items(spark, folder), storage.work_path(spark, "kmeans-log")
+    kmeans.lloyd(items, F4, first_centers(items), max_iter=1, log=log)
+    run = kmeans.lloyd(items, F4, first_centers(items), max_iter=PASSES, log=log)
+    return _rounded_patterns(run.patterns(spark))
+
+
 @query
 def kmeans_converged(spark, folder):
     """How far each centre moved in the last of the passes, and whether that is a stop."""

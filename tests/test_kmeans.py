@@ -253,3 +253,20 @@ def test_one_pass_is_one_shuffle(spark, blobs):
     plan = kmeans._cells(blobs, ["x", "y"], [[0.0, 0.0], [1.0, 1.0]])._jdf.queryExecution().executedPlan().toString()
     initial = plan.split("Initial Plan")[-1]
     assert initial.count("Exchange") == 1 and "Join" not in initial and "Python" not in initial
+
+
+def test_a_stopped_run_goes_on(spark, blobs, tmp_path):
+    """Stopped after any pass and resumed, a run is the unbroken one; a finished one is read back."""
+    start = [[0.0, 0.0], [1.0, 1.0], [1e6, 1e6]]
+    whole = kmeans.lloyd(blobs, ["x", "y"], start, 5, 0.0)
+    for stop in (1, 2, 3):
+        log = str(tmp_path / f"log-{stop}")
+        first = kmeans.lloyd(blobs, ["x", "y"], start, stop, 0.0, log=log)
+        assert first.iterations == min(stop, whole.iterations)
+        for _ in range(2):
+            run = kmeans.lloyd(blobs, ["x", "y"], start, 5, 0.0, log=log)
+            assert run.model == whole.model and run.moves == whole.moves and run.cost == whole.cost
+            assert (run.iterations, run.converged) == (whole.iterations, whole.converged)
+            assert sorted(map(tuple, run.cells)) == sorted(map(tuple, whole.cells))
+    with pytest.raises(ValueError, match="another number"):
+        kmeans.lloyd(blobs, ["x", "y"], start[:2], 5, 0.0, log=log)

@@ -269,3 +269,18 @@ def test_als_parameters(rated):
         als.train(rated, 0, 1)
     with pytest.raises(ValueError):
         als.train(rated, 1, -1)
+
+
+@pytest.mark.parametrize("small", [10, 10_000])
+def test_large_samples_are_the_small_ones_carried_on(spark, monkeypatch, small):
+    monkeypatch.setattr(sampling, "SMALL", small)
+    monkeypatch.setattr(sampling, "LEVEL_BITS", 4 if small == 10 else 13)
+    df = spark.range(5000).withColumn("__v", F.col("id") * 2).repartition(7)
+    for n in (0, 1, 50, 2500, 4999, 5000, 9999):
+        mine = {r.id for r in sampling.take_many(df, n, ["id"], 3).collect()}
+        assert mine == ({r.id for r in sampling.take_sample(df, n, ["id"], 3).collect()} if n else set())
+    alike = spark.range(100).selectExpr("id", "1 as k")
+    assert sampling.take_many(alike, 30, ["k"], 3).count() == 30
+    assert sampling.take_many(df.limit(0), 5, ["id"], 3).count() == 0
+    with pytest.raises(ValueError, match="key"):
+        sampling.take_many(df, 5, None, 3)
