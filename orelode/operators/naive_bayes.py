@@ -36,6 +36,9 @@ from orelode.functions.vectors import (
 
 Label = str | float | int
 
+# Wider rows are aggregated by position, as in the K-Means passes.
+_WIDE_AGGREGATE = 16
+
 #: Classes of a model, all of which the driver holds.
 MAX_CLASSES = 100_000
 
@@ -100,12 +103,16 @@ def class_sums(df: DataFrame, label: str, features: Sequence[str]) -> DataFrame:
 def train(df: DataFrame, label: str, features: Sequence[str], smoothing: float = 1.0) -> NaiveBayesModel:
     """Fit in one pass. Negative, NULL, NaN or infinite attributes and NULL labels raise."""
     features = list(features)
-    checked, xs = with_required(df.select(F.col(label).alias("__label"), *features), features)
-    totals = checked.groupBy("__label").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.array(*[F.sum(x) for x in xs]).alias("sums"),
-        F.array(*[F.min(x) for x in xs]).alias("smallest"),
-    )
+    rows = df.select(F.col(label).alias("__label"), *features)
+    if len(features) > _WIDE_AGGREGATE:
+        totals = _totals_by_position(rows, features)
+    else:
+        checked, xs = with_required(rows, features)
+        totals = checked.groupBy("__label").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.array(*[F.sum(x) for x in xs]).alias("sums"),
+            F.array(*[F.min(x) for x in xs]).alias("smallest"),
+        )
     # One row per class.
     rows = totals.limit(MAX_CLASSES + 1).collect()
     if len(rows) > MAX_CLASSES:
@@ -128,6 +135,16 @@ def train(df: DataFrame, label: str, features: Sequence[str], smoothing: float =
     return NaiveBayesModel(features, [r["__label"] for r in rows], pi, theta, label_type)
 
 
+def _totals_by_position(rows: DataFrame, features: list[str]) -> DataFrame:
+    """__label, n, sums and smallest, aggregated by label and position."""
+    values = rows.select("__label", F.posexplode(feature_array(features)).alias("pos", "x"))
+    cells = values.groupBy("__label", "pos").agg(F.count("x").alias("n"), F.sum("x").alias("s"), F.min("x").alias("low"))
+    # A row per class and attribute, as the model has.
+    held = F.array_sort(F.collect_list(F.struct("pos", "s", "low")))
+    totals = cells.groupBy("__label").agg(F.first("n").alias("n"), held.alias("held"))
+    return totals.select("__label", "n", F.col("held.s").alias("sums"), F.col("held.low").alias("smallest"))
+
+
 def accuracy(predictions: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
     """(n, correct, accuracy); the accuracy of no rows is NULL."""
     right = (F.col(prediction) == F.col(label)).cast("double")

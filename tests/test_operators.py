@@ -284,3 +284,21 @@ def test_large_samples_are_the_small_ones_carried_on(spark, monkeypatch, small):
     assert sampling.take_many(df.limit(0), 5, ["id"], 3).count() == 0
     with pytest.raises(ValueError, match="key"):
         sampling.take_many(df, 5, None, 3)
+
+
+def test_naive_bayes_of_many_features(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    wide = rng.integers(0, 9, (40, 600)).astype(float)
+    df = spark.createDataFrame([("ab"[i % 2], x.tolist()) for i, x in enumerate(wide)], "label string, x array<double>")
+    names = [f"f{i}" for i in range(600)]
+    df = df.select("label", *[F.col("x")[i].alias(n) for i, n in enumerate(names)])
+    model = naive_bayes.train(df, "label", names)
+    for row, theta in zip((wide[::2], wide[1::2]), model.theta, strict=True):
+        assert np.allclose(theta, np.log((row.sum(0) + 1) / (row.sum() + 600)))
+    few = df.select("label", *names[:9])
+    narrow = naive_bayes.train(few, "label", names[:9])
+    monkeypatch.setattr(naive_bayes, "_WIDE_AGGREGATE", 4)
+    by_position = naive_bayes.train(few, "label", names[:9])
+    assert np.allclose(narrow.theta, by_position.theta) and narrow.pi == by_position.pi
+    with pytest.raises(Exception, match="negative"):
+        naive_bayes.train(few.withColumn("f0", F.lit(-1.0)), "label", names[:9])
