@@ -6,6 +6,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orelode.operators.partitions import persisted
 from orelode.sources.staging import stage
 
 # Fixed value: the regularisation the ratings model is trained with.
@@ -38,7 +39,6 @@ def train(
         raise ValueError(f"rank must be positive but got {rank}")
     if iterations < 0:
         raise ValueError(f"iterations must not be negative but got {iterations}")
-    blocks = blocks or max(BLOCKS, -(-ratings.count() // RATINGS_PER_BLOCK))
     estimator = ALS(
         rank=rank,
         maxIter=iterations,
@@ -46,12 +46,13 @@ def train(
         userCol=user,
         itemCol=item,
         ratingCol=rating,
-        numUserBlocks=blocks,
-        numItemBlocks=blocks,
         coldStartStrategy="drop",
         **({} if seed is None else {"seed": seed}),
     )
-    return estimator.fit(ratings.select(user, item, rating))
+    # Kept, as counting and fitting would compute the ratings twice.
+    with persisted(ratings.select(user, item, rating)) as rows:
+        blocks = blocks or max(BLOCKS, -(-rows.count() // RATINGS_PER_BLOCK))
+        return estimator.setNumBlocks(blocks).fit(rows)
 
 
 def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
