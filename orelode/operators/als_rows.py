@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from orelode.functions.keyed import keyed_uniform
 from orelode.operators.als import LAMBDA
+from orelode.session import ship_package
 from orelode.sources.staging import discard, stage
 
 #: Owners of more than this share of all ratings are cut into slices of about that size.
@@ -104,6 +105,8 @@ def half_step(
 
     ``hot`` (id, slices) names the owners to be cut; they are at most HOT_SHARE.
     """
+    # The tasks call this module's functions.
+    ship_package(rows.sparkSession)
     vectors = factors.select(F.col("id").alias(other), F.col("factors").alias("y"))
     joined = rows.join(vectors, other)
     slice_ = F.lit(0)
