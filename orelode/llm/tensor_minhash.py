@@ -7,12 +7,11 @@ Documents of similarity s share a table with probability (1 - (1 - s**WIDTH)**HA
 0.9996 for s = 0.8, 0.99997 for s = 0.85, 0.0001 for s = 0.1.
 
 Documents of equal sets form a class and are handled once. In a table's bucket every
-class is compared with the first one, not with all others: first each class with the
-lowest leader it met, then with its other leaders where the components still differ.
-Where a class and a leader stay apart, all classes that met this leader in some table
-are taken together: those outside of the largest component among them are held against
-all of them by a bound that never rules out a link, and what passes is compared. So no
-link that a table shows is lost, and no bucket is cut.
+class is compared with the first one, its leader, and not with all others. Where a class
+and a leader stay apart, all classes that met this leader in some table are taken
+together: those outside of the largest component among them are held against all of them
+by a bound that never rules out a link, and what passes is compared. So no link that a
+table shows is lost, and no bucket is cut.
 """
 
 from __future__ import annotations
@@ -27,12 +26,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orelode.llm.arrays import SPACED, shingles, utf8
-from orelode.llm.components import components
+from orelode.llm.components import TASK_ROWS, components
+from orelode.operators.partitions import gather
 from orelode.sources.storage import stage
 
 WIDTH, HALVES = 3, 12
 #: Parts that sets are counted in for the bound, and classes of one side of a block.
 SIGNATURE, BLOCK_MEMBERS = 256, 2048
+#: Classes whose keys, and pairs whose texts, are worth a task.
+TASK_CLASSES, TASK_PAIRS = 4000, 1000
 
 _SALT = np.random.default_rng(11).integers(1, 1 << 63, (2, 2 * HALVES * WIDTH), dtype=np.uint64)
 _CHUNK = 4096
@@ -56,14 +58,20 @@ def near_duplicates(
     classes = rows.where("class is not null").groupBy("class")
     nodes = classes.agg(F.min("doc_id").alias("doc_id"), F.first("u").alias("u"), F.first("v").alias("v"))
     # Each class makes HALVES squared keys, so they are dealt to many tasks before that.
-    nodes = nodes.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    spark = df.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, -(-rows.count() // TASK_CLASSES))
+    nodes = nodes.repartition(min(tasks, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     nodes = stage(nodes.withColumn("node", F.monotonically_increasing_id()), "classes")
     found = _components(df, nodes, size, share, doc, text)
 
-    owner = nodes.select("node", "class", "doc_id").join(found, "node", "left")
-    owner = stage(owner.withColumn("component", F.coalesce("component", "node")), "class-components")
-    smallest = stage(owner.groupBy("component").agg(F.min("doc_id").alias("component_id")), "smallest")
-    named = stage(owner.join(smallest, "component").select("class", "component_id"), "class-ids")
+    # Most classes have no link, so only those that do are named by their component.
+    linked, every = found.count(), nodes.select("node", "class", "doc_id")
+    owner = stage(gather(every.join(found, "node"), linked, TASK_ROWS), "class-components")
+    smallest = owner.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    smallest = stage(gather(smallest, linked, TASK_ROWS), "smallest")
+    ids = stage(gather(owner.join(smallest, "component").select("node", "component_id"), linked, TASK_ROWS), "ids")
+    named = every.join(ids, "node", "left").select("class", F.coalesce("component_id", "doc_id").alias("component_id"))
+    named = stage(gather(named, nodes.count(), TASK_ROWS), "class-ids")
     out = rows.join(named, "class", "left").withColumn(
         "component_id", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     )
@@ -91,56 +99,50 @@ def keep_one(df: DataFrame, size: int = 5, share: int = 80, doc: str = "doc_id",
 
 def _components(df: DataFrame, nodes: DataFrame, size: int, share: int, doc: str, text: str) -> DataFrame:
     """node, component of the classes with links."""
-    pairs = stage(_met(nodes.withColumn("component", F.col("node"))).distinct(), "pairs")
+    pairs = stage(gather(_met(nodes).distinct(), nodes.count(), TASK_CLASSES), "pairs")
     texts = _texts(df, nodes, pairs, size, doc, text)
-
-    lowest = pairs.groupBy("node").agg(F.min("leader").alias("leader"))
-    tested = stage(_compare(lowest, texts, size, share), "compared")
-    links = tested.where("linked").selectExpr("node as a", "leader as b")
-    found = components(links)
-    # The buckets are made again, of classes that met any, as labels are looked up once per class and not once per pair.
-    some = pairs.select("node").union(pairs.select("leader")).distinct()
-    named = stage(_labelled(nodes.join(some, "node", "left_semi"), found, "node").withColumnRenamed("node_component", "component"), "named")
-    others = _met(named).distinct().join(tested, ["node", "leader"], "left_anti")
-    tested = tested.unionByName(stage(_compare(others, texts, size, share), "compared"))
+    tested = stage(_compare(pairs, texts, size, share), "compared")
     links = tested.where("linked").selectExpr("node as a", "leader as b")
     found = components(links)
 
     # All classes of a bucket are among those that share its leader, so these groups hold every pair of a table.
     failed = _apart(tested.where("not linked").select("node", "leader"), found)
-    unsettled = stage(failed.select("leader").distinct(), "unsettled")
+    unsettled = stage(gather(failed.select("leader").distinct(), tested.count(), TASK_ROWS), "unsettled")
     if unsettled.isEmpty():
         return found
     followers = pairs.join(unsettled, "leader").selectExpr("leader as key", "node")
     inside = followers.union(unsettled.selectExpr("leader as key", "leader as node"))
-    hopeful = stage(_hopeful(_labelled(inside, found, "node"), texts, size, share), "hopeful")
+    hopeful = _hopeful(_labelled(inside, found, "node"), texts, size, share)
+    hopeful = stage(gather(hopeful, pairs.count(), TASK_ROWS), "hopeful")
     met = tested.select("node", "leader").union(tested.select("leader", "node"))
     more = _apart(hopeful.join(met, ["node", "leader"], "left_anti"), found)
+    more = stage(gather(more, hopeful.count(), TASK_ROWS), "more")
     new = stage(_compare(more, texts, size, share).where("linked"), "compared").selectExpr("node as a", "leader as b")
     return found if new.isEmpty() else components(links.unionByName(new))
 
 
 def _met(nodes: DataFrame) -> DataFrame:
-    """node, leader of each class (node, component, u, v) and the lowest in one of its buckets, if their components differ.
+    """node, leader of each class (node, u, v) and the lowest in one of its buckets, if that is another.
 
     The keys are shuffled once; buckets follow each other, each with its leader first, and none is held as a whole.
     """
-    keys = nodes.select("node", "component", "v", F.explode("u").alias("a")).select("node", "component", "a", F.explode("v").alias("b"))
-    keys = keys.select(F.xxhash64("a", "b").alias("key"), "node", "component")
+    keys = nodes.select("node", "v", F.explode("u").alias("a")).select("node", "a", F.explode("v").alias("b"))
+    keys = keys.select(F.xxhash64("a", "b").alias("key"), "node")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = np.zeros((3, 0), np.int64)
+        last = np.zeros((2, 0), np.int64)
         for batch in batches:
             rows = np.concatenate([last, np.stack([c.to_numpy() for c in batch.columns])], axis=1)
-            key, node, component = rows
+            key, node = rows
             first = np.concatenate([[True], key[1:] != key[:-1]])
-            leader = np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))
-            apart = component != component[leader]
+            leader = node[np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))]
+            apart = node != leader
             # The leader of the last bucket goes on to the next batch.
-            last = rows[:, leader[-1:]]
-            yield pa.RecordBatch.from_arrays([pa.array(node[apart]), pa.array(node[leader[apart]])], names=["node", "leader"])
+            last = np.stack([key[-1:], leader[-1:]])
+            yield pa.RecordBatch.from_arrays([pa.array(node[apart]), pa.array(leader[apart])], names=["node", "leader"])
 
-    return keys.repartition("key").sortWithinPartitions("key", "node").mapInArrow(meet, "node long, leader long")
+    sorted_ = keys.repartition("key").sortWithinPartitions("key", "node")
+    return gather(sorted_, nodes.count(), TASK_CLASSES).mapInArrow(meet, "node long, leader long")
 
 
 def _hopeful(members: DataFrame, texts: DataFrame, size: int, share: int) -> DataFrame:
@@ -238,7 +240,7 @@ def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
 def _texts(df: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, doc: str, text: str) -> DataFrame:
     """node, text of every class that is in a pair."""
     wanted = pairs.select("node").union(pairs.select("leader")).distinct().join(nodes.select("node", "doc_id", "class"), "node")
-    wanted = stage(wanted, "wanted")
+    wanted = stage(gather(wanted, pairs.count(), TASK_ROWS), "wanted")
     docs = df.select(F.col(doc).cast("long").alias("__doc"), F.col(text).alias("text"))
     held = docs.join(wanted.hint("merge"), docs["__doc"].eqNullSafe(wanted["doc_id"])).select("node", "class", "text")
 
@@ -250,13 +252,13 @@ def _texts(df: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, doc: st
             yield batch.filter(right).select(["node", "text"])
 
     texts = stage(held.mapInArrow(own, "node long, text string"), "texts")
-    if texts.groupBy("node").count().where("count > 1").isEmpty():
+    if gather(texts.groupBy("node").count().where("count > 1"), pairs.count(), TASK_ROWS).isEmpty():
         return texts
     return stage(texts.groupBy("node").agg(F.first("text").alias("text")), "texts")
 
 
 def _compare(pairs: DataFrame, texts: DataFrame, size: int, share: int) -> DataFrame:
-    """node, leader, linked of each pair, on the full sets."""
+    """node, leader, linked of each of the staged ``pairs``, on the full sets."""
     near = pairs.join(texts.hint("merge"), "node")
     far = texts.selectExpr("node as leader", "text as other")
     rows = near.join(far.hint("merge"), "leader").select("node", "leader", "text", "other")
@@ -274,7 +276,7 @@ def _compare(pairs: DataFrame, texts: DataFrame, size: int, share: int) -> DataF
                 [batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], names=["node", "leader", "linked"]
             )
 
-    return rows.mapInArrow(test, "node long, leader long, linked boolean")
+    return gather(rows, pairs.count(), TASK_PAIRS).mapInArrow(test, "node long, leader long, linked boolean")
 
 
 def _sketches(df: DataFrame, size: int, doc: str, text: str) -> DataFrame:

@@ -22,6 +22,16 @@ def spread(df: DataFrame, *key: str) -> DataFrame:
     return df.repartition(cores, *key)
 
 
+def gather(df: DataFrame, rows: int, each: int) -> DataFrame:
+    """At most a task per ``each`` of some ``rows``, one per core at least.
+
+    For the last step of a table that is small for the shuffle partitions: a task that
+    writes a handful of rows costs what thousands do. Large tables keep their tasks.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.coalesce(max(cores, -(-rows // each)))
+
+
 @contextmanager
 def persisted(df: DataFrame) -> Iterator[DataFrame]:
     """Keep rows that are costly to compute while an iterative job reads them again and again."""

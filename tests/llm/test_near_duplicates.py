@@ -87,3 +87,29 @@ def test_chains_are_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 99), (99, 100)], "a long, b long")
     found = {r.node: r.component for r in components(edges).collect()}
     assert found == {**{i: 0 for i in range(41)}, 99: 99, 100: 99}
+
+
+def test_small_tables_take_few_tasks(documents, spark, monkeypatch):
+    """However many shuffle partitions there are, tables of numbers do not take a task of each."""
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    staged, real = [], tensor_minhash.stage
+
+    def watched(df, what):
+        staged.append((what, real(df, what)))
+        return staged[-1][1]
+
+    monkeypatch.setattr(tensor_minhash, "stage", watched)
+    monkeypatch.setattr("orelode.llm.components.stage", watched)
+    rows = corpus()
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        out = tensor_minhash.near_duplicates(documents(rows), 2).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in out} == groups(rows, 2, 80)
+    files = {what: len(df.inputFiles()) for what, df in staged if what != "texts"}
+    assert max(files.values()) <= spark.sparkContext.defaultParallelism, files
+    assert sum(what == "compared" for what, _ in staged) <= 2
