@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orelode.llm.arrays import SPACED, shingles, utf8
+from orelode.llm.arrays import SPACED, row_blocks, shingles, utf8
 from orelode.llm.components import TASK_ROWS, components
 from orelode.operators.partitions import gather
 from orelode.sources.storage import stage
@@ -313,10 +313,13 @@ def _with_class(df: DataFrame, size: int, text: str) -> DataFrame:
 
 
 def sets_of(column: pa.Array, size: int) -> Iterator[np.ndarray]:
-    """The sorted distinct shingle hashes of each text."""
-    words, first = SPACED.hashes(*utf8(column))
-    for a, b in zip(first, first[1:], strict=False):
-        yield np.unique(shingles(words[a:b], size))
+    """The sorted distinct shingle hashes of each text; words are held for one block of rows at a time."""
+    data, offsets = utf8(column)
+    for start, stop in row_blocks(offsets):
+        edges = offsets[start : stop + 1]
+        words, first = SPACED.hashes(data[edges[0] : edges[-1]], edges - edges[0])
+        for a, b in zip(first, first[1:], strict=False):
+            yield np.unique(shingles(words[a:b], size))
 
 
 def half_keys(found: np.ndarray) -> np.ndarray:

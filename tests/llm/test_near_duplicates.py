@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 
 from orelode.llm import tensor_minhash
@@ -113,3 +115,19 @@ def test_small_tables_take_few_tasks(documents, spark, monkeypatch):
     files = {what: len(df.inputFiles()) for what, df in staged if what != "texts"}
     assert max(files.values()) <= spark.sparkContext.defaultParallelism, files
     assert sum(what == "compared" for what, _ in staged) <= 2
+
+
+def test_memory_of_a_batch():
+    """Only the words of a block of rows are held, whatever the batch has."""
+    column = pa.array([f"t{i} " + "ab cd efg h " * 500 for i in range(4000)] + [None, ""])
+    assert sum(len(s) for s in tensor_minhash.sets_of(column.slice(3998), 2)) == 2 * 5
+    next(tensor_minhash.sets_of(column.slice(4000), 2))
+    tracemalloc.start()
+    try:
+        sizes = [len(s) for s in tensor_minhash.sets_of(column, 2)]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sizes == [5] * 4000 + [0, 0]
+    # 24 MB of text; the hashes of all of its words are 64 MB.
+    assert peak < 60e6, peak
