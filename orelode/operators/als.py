@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import nullcontext
+
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,11 +27,14 @@ def train(
     rating: str = "rating",
     reg: float = LAMBDA,
     blocks: int | None = None,
+    keep: bool = True,
 ) -> ALSModel:
     """Factorise (user, item, rating) with integer ids.
 
-    Unknown users and items are dropped when the model scores. Long runs cut their
-    lineage in the folder of ``spark.checkpoint.dir``, if the cluster names one.
+    Unknown users and items are dropped when the model scores. Every iteration cuts its
+    lineage in the folder of ``spark.checkpoint.dir``, if the cluster names one: the
+    vectors that earlier iterations sent are then deleted, not kept to the end. Ratings
+    that are cheap to read again, like staged ones, need no copy: ``keep=False``.
     The ratings are cut into ``blocks`` x ``blocks`` parts, which the result depends on.
     Unless told otherwise there is one block per RATINGS_PER_BLOCK ratings and BLOCKS at
     least, so the same ratings give the same result on any cluster. All ratings of one
@@ -47,10 +52,12 @@ def train(
         itemCol=item,
         ratingCol=rating,
         coldStartStrategy="drop",
+        checkpointInterval=1,
         **({} if seed is None else {"seed": seed}),
     )
+    rows = ratings.select(user, item, rating)
     # Kept, as counting and fitting would compute the ratings twice.
-    with persisted(ratings.select(user, item, rating)) as rows:
+    with persisted(rows) if keep else nullcontext():
         blocks = blocks or max(BLOCKS, -(-rows.count() // RATINGS_PER_BLOCK))
         return estimator.setNumBlocks(blocks).fit(rows)
 

@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,7 +52,7 @@ from orelode.plans.inputs import (
     table,
 )
 from orelode.plans import jobs
-from orelode.sources import lines, storage
+from orelode.sources import lines, staging, storage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -788,6 +789,21 @@ def als_predict(spark, folder):
     return als.predict(als.train(rated, ALS_RANK, ALS_ITERATIONS, SEED), rated)
 
 
+def _settled_als(spark: SparkSession, folder: str) -> tuple[DataFrame, ALSModel]:
+    """The ratings and a model of them, read from the shared folder.
+
+    A fitted model refers to all shuffles of its training and the ratings to theirs. Read
+    back, they refer to none, and the files go before the next step shuffles.
+    """
+    staging.checkpoints(spark)
+    rated = staging.stage(ratings(spark, folder), "ratings")
+    staging.release(spark)
+    path = storage.work_path(spark, "als")
+    storage.save_als(als.train(rated, ALS_RANK, ALS_ITERATIONS, SEED, keep=False), path)
+    staging.release(spark)
+    return rated, storage.load_als(path)
+
+
 @query
 def als_normal_equations(spark, folder):
     """Users whose factors solve the regularised least squares of their ratings, given the items' factors.
@@ -814,17 +830,25 @@ def als_normal_equations(spark, folder):
 
 @query
 def als_predict_dot(spark, folder):
-    """Every rated pair, and whether its prediction is the product of the exported factors."""
-    rated = ratings(spark, folder)
-    model = als.train(rated, ALS_RANK, ALS_ITERATIONS, SEED)
+    """Every rated pair, and whether its prediction is the product of the exported factors.
+
+    The export has a row per number. It is gathered to a vector per id before it meets the
+    predictions, which so are not repeated for every number.
+    """
+    rated, model = _settled_als(spark, folder)
     sides = als.factors(model)
-    own = sides.where("side = 'user'").selectExpr("id as user", "position", "value as a")
-    other = sides.where("side = 'item'").selectExpr("id as item", "position", "value as b")
-    scored = als.predict(model, rated)
-    products = scored.join(own, "user").join(other, ["item", "position"])
-    summed = products.groupBy("user", "item").agg(
-        F.sum(F.col("a").cast("double") * F.col("b")).alias("dot"), F.first("prediction").alias("p")
-    )
+
+    def vectors(side: str, name: str) -> DataFrame:
+        numbers = F.array_sort(F.collect_list(F.struct("position", "value")))
+        gathered = sides.where(F.col("side") == side).groupBy(F.col("id").alias(side)).agg(numbers.alias("numbers"))
+        return gathered.select(side, F.col("numbers.value").alias(name))
+
+    scored = staging.stage(als.predict(model, rated), "scored")
+    staging.discard(rated)
+    staging.release(spark)
+    products = scored.join(vectors("user", "a"), "user").join(vectors("item", "b"), "item")
+    dot = F.aggregate(F.zip_with("a", "b", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda s, v: s + v)
+    summed = products.select("user", "item", dot.alias("dot"), F.col("prediction").alias("p"))
     return summed.select("user", "item", (F.abs(F.col("dot") - F.col("p")) <= 1e-4 * (F.abs("dot") + 1)).alias("same"))
 
 

@@ -6,8 +6,10 @@ setting; anywhere else it is an error, as executors do not see each other's fold
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,3 +39,22 @@ def discard(df: DataFrame) -> None:
     for path in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
         target = spark._jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def checkpoints(spark: SparkSession) -> None:
+    """Let iterative training cut its lineage in the shared folder, unless the context has a folder for it."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(work_path(spark, "checkpoints"))
+
+
+def release(spark: SparkSession) -> None:
+    """Let the executors delete the shuffle files and cached blocks of what nothing refers to any more.
+
+    Spark deletes them when the driver's JVM collects its garbage, which it may not do
+    for half an hour. For the end of a step that shuffles much; costs full collections,
+    the second for what the events of the last query still named in the first.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+    time.sleep(0.5)
+    spark._jvm.System.gc()
