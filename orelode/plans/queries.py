@@ -809,13 +809,13 @@ def als_normal_equations(spark, folder):
     """Users whose factors solve the regularised least squares of their ratings, given the items' factors.
 
     Training ends with the users. What is left of the equations is held against the sum of
-    the terms' sizes, as factors are single precision.
+    the terms' sizes, as factors are single precision. The users are joined last: the terms
+    are then where their sums are made, and no shuffle holds a row per term.
     """
-    rated = ratings(spark, folder)
-    model = als.train(rated, ALS_RANK, ALS_ITERATIONS, SEED)
+    rated, model = _settled_als(spark, folder)
     users = model.userFactors.select(F.col("id").alias("user"), F.col("features").alias("x"))
     items = model.itemFactors.select(F.col("id").alias("item"), F.col("features").alias("y"))
-    pairs = rated.join(users, "user").join(items, "item")
+    pairs = rated.join(items, "item").drop("item").join(users, "user")
     error = F.aggregate(F.zip_with("x", "y", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda s, v: s + v) - F.col("rating")
     terms = pairs.select("user", "rating", "x", error.alias("e"), F.posexplode("y").alias("place", "yv"))
     sums = terms.groupBy("user", "place").agg(

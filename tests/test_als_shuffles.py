@@ -81,7 +81,11 @@ def test_predictions_are_not_repeated_per_number(spark, folder, shuffled_joins):
     check(spark, folder, "als_predict_dot")
 
 
-@pytest.mark.parametrize("name", ["als_predict_dot"])
+def test_terms_are_not_shuffled(spark, folder, shuffled_joins):
+    check(spark, folder, "als_normal_equations")
+
+
+@pytest.mark.parametrize("name", ["als_predict_dot", "als_normal_equations"])
 def test_training_leaves_no_shuffles(spark, folder, name):
     """A training has shuffles of its own and two per iteration; what reads the model needs none of them."""
     before = shuffles(spark)
