@@ -34,7 +34,9 @@ def train(
     Unknown users and items are dropped when the model scores. Every iteration cuts its
     lineage in the folder of ``spark.checkpoint.dir``, if the cluster names one: the
     vectors that earlier iterations sent are then deleted, not kept to the end. Ratings
-    that are cheap to read again, like staged ones, need no copy: ``keep=False``.
+    that are cheap to read again, like staged ones, need no copy: with ``keep=False``
+    there is none, and blocks that memory does not hold are built again from the shuffle
+    files they come from, every half step, instead of written beside them.
     The ratings are cut into ``blocks`` x ``blocks`` parts, which the result depends on.
     Unless told otherwise there is one block per RATINGS_PER_BLOCK ratings and BLOCKS at
     least, so the same ratings give the same result on any cluster. All ratings of one
@@ -53,6 +55,7 @@ def train(
         ratingCol=rating,
         coldStartStrategy="drop",
         checkpointInterval=1,
+        intermediateStorageLevel="MEMORY_AND_DISK" if keep else "MEMORY_ONLY",
         **({} if seed is None else {"seed": seed}),
     )
     rows = ratings.select(user, item, rating)

@@ -51,10 +51,11 @@ def release(spark: SparkSession) -> None:
     """Let the executors delete the shuffle files and cached blocks of what nothing refers to any more.
 
     Spark deletes them when the driver's JVM collects its garbage, which it may not do
-    for half an hour. For the end of a step that shuffles much; costs full collections,
-    the second for what the events of the last query still named in the first.
+    for half an hour. For the end of a step that shuffles much; costs two full collections
+    and three seconds: Py4J tells the JVM of dropped objects once a second, and events of
+    the last query still name it for a moment.
     """
     gc.collect()
-    spark._jvm.System.gc()
-    time.sleep(0.5)
-    spark._jvm.System.gc()
+    for _ in range(2):
+        time.sleep(1.5)
+        spark._jvm.System.gc()

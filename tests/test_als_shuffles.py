@@ -98,8 +98,8 @@ def test_training_leaves_no_shuffles(spark, folder, name):
 
 def test_every_iteration_cuts_its_lineage(spark, monkeypatch):
     seen = []
-    monkeypatch.setattr(als.ALS, "fit", lambda self, df: seen.append((self.getCheckpointInterval(), df.is_cached)))
+    monkeypatch.setattr(als.ALS, "fit", lambda self, df: seen.append((self.getCheckpointInterval(), df.is_cached, self.getIntermediateStorageLevel())))
     ratings = spark.createDataFrame([(i, i, 1.0) for i in range(5)], "user int, item int, rating double")
     als.train(ratings, 2, 1)
     als.train(ratings, 2, 1, keep=False)
-    assert seen == [(1, True), (1, False)]
+    assert seen == [(1, True, "MEMORY_AND_DISK"), (1, False, "MEMORY_ONLY")]
